@@ -45,11 +45,12 @@ def decode_json(
     """Parse ``value`` by ``schema``; give ``fields``, or all of them.
 
     A message that does not parse gives a row of nulls, a field of another
-    type gives null in that field. Field names match with case.
+    type gives null in that field. Field names match with case. Only the
+    fields asked for are converted.
     """
     value = F.col("value")
     value = unwrap_json(value) if unwrap else value.cast("string")
+    if fields is not None:
+        schema = StructType([schema[name] for name in fields])
     data = messages.select(F.from_json(value, schema, options).alias("data"))
-    if fields is None:
-        return data.select("data.*")
-    return data.select(*[f"data.{name}" for name in fields])
+    return data.select("data.*")

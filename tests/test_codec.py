@@ -1,0 +1,107 @@
+"""Messages: encoding, decoding and what unwrapping does to them."""
+
+import datetime as dt
+import math
+
+import pytest
+
+from podium.functions.codec import decode_json, encode_json, unwrap_json
+from podium.schemas import ENRICHED_AVG, EVENT_RESULTS, with_names
+
+
+def messages(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def decoded(spark, value, **options):
+    row = decode_json(messages(spark, value), EVENT_RESULTS, **options).first()
+    return {k: v for k, v in row.asDict().items() if v is not None}
+
+
+@pytest.mark.parametrize(
+    "value, fields",
+    [
+        ("not json", {}),
+        ('{"athlete_id":"x","sport":"S"}', {"sport": "S"}),
+        ('{"athlete_id":3000000000,"sport":"big"}', {"sport": "big"}),
+        (
+            '{"athlete_id":1,"isTeamSport":1,"sport":"b"}',
+            {"athlete_id": 1, "sport": "b"},
+        ),
+        ('{"ATHLETE_ID":5}', {}),
+    ],
+)
+def test_bad_messages_and_fields_become_null(spark, value, fields):
+    assert decoded(spark, value) == fields
+
+
+def test_chosen_fields_are_as_in_the_whole_message(spark):
+    cases = [
+        "not json",
+        '{"athlete_id":1,"isTeamSport":1,"sport":"b"}',
+        '{"edition_id":"x","athlete_id":7,"sport":"c","medal":"Gold"}',
+        '{"athlete_id":"x","sport":"S"',
+        None,
+    ]
+    fields = ["athlete_id", "sport", "medal"]
+    some = decode_json(messages(spark, *cases), EVENT_RESULTS, fields).collect()
+    every = decode_json(messages(spark, *cases), EVENT_RESULTS).select(fields).collect()
+    assert some == every
+
+
+def test_key_is_null_and_null_fields_are_left_out(spark):
+    df = spark.createDataFrame([(1, None)], "athlete_id int, medal string")
+    row = encode_json(df).first()
+    assert row.key is None
+    assert row.value == '{"athlete_id":1}'
+    assert decode_json(encode_json(df), df.schema).collect() == df.collect()
+
+
+def test_nan_goes_through(spark):
+    df = spark.createDataFrame([(math.nan,)], "avg_height double")
+    assert math.isnan(decode_json(encode_json(df), df.schema).first()[0])
+
+
+def test_binary_value_is_decoded(spark):
+    df = messages(spark, '{"athlete_id":5}').selectExpr("cast(value as binary) as value")
+    assert decode_json(df, EVENT_RESULTS).first().athlete_id == 5
+    assert decode_json(df, EVENT_RESULTS, unwrap=True).first().athlete_id == 5
+
+
+def test_timestamps_are_cut_to_milliseconds_unless_a_format_is_given(spark):
+    when = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    df = spark.createDataFrame([(when,)], "timestamp timestamp")
+    assert decode_json(encode_json(df), df.schema).first()[0].microsecond == 123000
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    back = decode_json(encode_json(df, micros), df.schema, options=micros)
+    assert back.first()[0].microsecond == 123456
+
+
+def test_unwrap_repairs_a_message_encoded_twice(spark):
+    value = '"{\\"athlete_id\\":7,\\"sport\\":\\"Golf\\"}"'
+    assert decoded(spark, value) == {}
+    assert decoded(spark, value, unwrap=True) == {"athlete_id": 7, "sport": "Golf"}
+
+
+def test_unwrap_loses_escaped_quotes_and_backslashes(spark):
+    df = spark.createDataFrame([(1, 'say "x"'), (2, "a\\b")], "athlete_id int, sport string")
+    plain = decode_json(encode_json(df), df.schema).collect()
+    assert [tuple(r) for r in plain] == [(1, 'say "x"'), (2, "a\\b")]
+    unwrapped = decode_json(encode_json(df), df.schema, unwrap=True).collect()
+    assert [tuple(r) for r in unwrapped] == [(None, None), (2, "ab")]
+
+
+def test_unwrap_takes_one_quote_from_each_end(spark):
+    from pyspark.sql import functions as F
+
+    values = ['""a""', '"a', 'a"', 'a"b', '\\\\"', '"a"\n', None]
+    got = messages(spark, *values).select(unwrap_json(F.col("value"))).collect()
+    assert [r[0] for r in got] == ['"a"', "a", "a", 'a"b', "", "a\n", None]
+
+
+def test_reader_that_names_the_country_otherwise_gets_null(spark):
+    df = spark.createDataFrame([("N1", 1.0)], "country_noc string, avg_height double")
+    schema = with_names(ENRICHED_AVG, {"country_noc": "noc_country"})
+    row = decode_json(encode_json(df), schema).first()
+    assert row.noc_country is None and row.avg_height == 1.0
+    assert decode_json(encode_json(df), ENRICHED_AVG).first().country_noc == "N1"
