@@ -1,0 +1,146 @@
+"""What is asked of Spark's JDBC and Kafka connectors.
+
+Neither a database nor a broker runs here: the options are checked, and the
+order of calls, on a stand-in for the reader and the writer.
+"""
+
+from unittest.mock import MagicMock
+
+import pytest
+
+from podium.operators.ledger import append_count
+from podium.sinks import write_jdbc, write_topic
+from podium.sources import jdbc_options, read_jdbc, read_topic, topic_options
+from podium.streaming import to_jdbc, to_topic
+
+ACCESS = {"url": "jdbc:db://host/x", "table": "t", "driver": "D", "user": "u", "password": "p"}
+
+
+def stand_in(*first_rows):
+    """A session whose reads give ``first_rows``; and the options of each read."""
+    spark, calls = MagicMock(), []
+
+    def options(**given):
+        calls.append(given)
+        reader = MagicMock()
+        reader.load.return_value.first.side_effect = list(first_rows)
+        return reader
+
+    for way in (spark.read, spark.readStream):
+        way.format.return_value.options.side_effect = options
+    return spark, calls
+
+
+def frame():
+    df, calls = MagicMock(), []
+
+    def options(**given):
+        calls.append(given)
+        return df.write.format.return_value
+
+    df.write.format.return_value.options.side_effect = options
+    df.write.format.return_value.mode.return_value = df.write.format.return_value
+    return df, calls
+
+
+def test_absent_settings_are_left_out():
+    assert jdbc_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t"}
+
+
+def test_ranges_between_given_bounds():
+    spark, calls = stand_in()
+    read_jdbc(spark, **ACCESS, bounds=(1, 1_000_000))
+    assert calls == [
+        {
+            "url": "jdbc:db://host/x",
+            "dbtable": "t",
+            "driver": "D",
+            "user": "u",
+            "password": "p",
+            "fetchsize": "10000",
+            "partitionColumn": "athlete_id",
+            "lowerBound": "1",
+            "upperBound": "1000000",
+            "numPartitions": "10",
+        }
+    ]
+
+
+def test_ranges_over_the_keys_there_are():
+    spark, calls = stand_in((3, 1499))
+    read_jdbc(spark, **ACCESS, partition_column="result_id", num_partitions=4)
+    asked, read = calls
+    assert asked["dbtable"] == "(select min(result_id) as lo, max(result_id) as hi from t) ends"
+    assert (read["lowerBound"], read["upperBound"], read["numPartitions"]) == ("3", "1499", "4")
+    assert read["partitionColumn"] == "result_id"
+
+
+def test_empty_or_small_table_is_read_in_one_go():
+    spark, calls = stand_in((None, None))
+    read_jdbc(spark, **ACCESS)
+    assert "partitionColumn" not in calls[-1]
+    spark, calls = stand_in()
+    read_jdbc(spark, **ACCESS, partition_column=None)
+    assert len(calls) == 1 and "partitionColumn" not in calls[0]
+
+
+@pytest.mark.parametrize("write", [write_jdbc, lambda df, **a: to_jdbc(**a)(df, 3)])
+def test_append_to_a_database(write):
+    df, calls = frame()
+    write(df, **ACCESS, column_types="medal_type VARCHAR(10)")
+    df.write.format.assert_called_with("jdbc")
+    df.write.format.return_value.mode.assert_called_with("append")
+    assert calls[0]["createTableColumnTypes"] == "medal_type VARCHAR(10)"
+    assert calls[0]["dbtable"] == "t" and calls[0]["numPartitions"] == "10"
+
+
+def test_ledger_in_a_database_has_a_label_of_fixed_width(spark, monkeypatch):
+    seen = {}
+
+    def write(df, **options):
+        seen.update(options, columns=df.columns)
+
+    monkeypatch.setattr("podium.operators.ledger.write_jdbc", write)
+    counts = spark.createDataFrame([("Gold", 3)], "medal_type string, count long")
+    append_count(counts, jdbc=ACCESS)
+    assert seen["column_types"] == "medal_type VARCHAR(10)"
+    assert seen["columns"] == ["medal_type", "count", "created_at"]
+
+
+def test_broker_options_of_the_enrichment():
+    assert topic_options("results", ["a:1", "b:2"]) == {
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "results",
+        "startingOffsets": "earliest",
+    }
+
+
+def test_broker_options_of_the_consumer():
+    spark, calls = stand_in()
+    read_topic(spark, "avg", ["a:1"], max_per_trigger=50, fail_on_data_loss=False, minPartitions="8")
+    spark.readStream.format.assert_called_with("kafka")
+    assert calls == [
+        {
+            "kafka.bootstrap.servers": "a:1",
+            "subscribe": "avg",
+            "startingOffsets": "earliest",
+            "maxOffsetsPerTrigger": "50",
+            "failOnDataLoss": "false",
+            "minPartitions": "8",
+        }
+    ]
+
+
+def test_publish_to_a_broker(spark, monkeypatch):
+    df, calls = frame()
+    write_topic(df, "avg", ["a:1"])
+    df.write.format.assert_called_with("kafka")
+    assert calls == [{"kafka.bootstrap.servers": "a:1", "topic": "avg"}]
+
+    seen = []
+    monkeypatch.setattr(
+        "podium.streaming.fanout.write_topic",
+        lambda messages, *where: seen.append((messages.columns, where)),
+    )
+    to_topic("avg", ["a:1"])(spark.range(1), 0)
+    assert seen == [(["key", "value"], ("avg", ["a:1"], "kafka"))]
