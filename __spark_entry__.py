@@ -114,7 +114,7 @@ def gold_avg_stats(spark, sf_dir):
 
 def gold_avg_stats_shuffled(spark, sf_dir):
     stats = avg_stats(
-        _res(spark, sf_dir), _bio(spark, sf_dir), country_from="event", join="combine"
+        _res(spark, sf_dir), _bio(spark, sf_dir), country_from="event", join="shuffle"
     )
     return _nan_flagged(stats)
 
@@ -139,7 +139,7 @@ def enrich_stream_query(spark, sf_dir):
 
 def enrich_stream_shuffled(spark, sf_dir):
     table = working_dir(spark, "enriched")
-    _enriched(spark, sf_dir, [to_table(table)], join="combine")
+    _enriched(spark, sf_dir, [to_table(table)], join="shuffle")
     return latest_snapshot(spark, table).drop("timestamp")
 
 

@@ -47,10 +47,12 @@ def decode_json(
     A message that does not parse gives a row of nulls, a field of another
     type gives null in that field. Field names match with case. Only the
     fields asked for are converted.
+
+    ``inline`` of the one parsed struct instead of ``data.*``: a later filter on
+    a field would else move below the parsing and parse each message twice.
     """
     value = F.col("value")
     value = unwrap_json(value) if unwrap else value.cast("string")
     if fields is not None:
         schema = StructType([schema[name] for name in fields])
-    data = messages.select(F.from_json(value, schema, options).alias("data"))
-    return data.select("data.*")
+    return messages.select(F.inline(F.array(F.from_json(value, schema, options))))

@@ -7,8 +7,9 @@ brought down before they meet:
 * a biography row turns into sums and counts per athlete, sex and country, so
   repeated biographies of one athlete are never paired with each result row;
 * when the biographies are too large to broadcast, equal results of an athlete
-  turn into one row with a count, so an athlete with a third of all results
-  sends a few rows per task into the shuffle and not a third of the table.
+  with very many results turn into one row with a count, so an athlete with a
+  third of all results sends a few rows per task into the shuffle and not a
+  third of the table. The other results are shuffled once, as they are.
 
 ``avg`` is put together again as sum over count after the join.
 """
@@ -28,6 +29,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # What a hashed row costs beside its values.
 ROW_OVERHEAD_BYTES = 64
 
+# An athlete is hot above this share of the results: no more than a thousand
+# can be. The sketch that finds them misses none above half that share.
+HOT_SHARE = 0.001
+HOT_TRACKED = 10_000
+
 
 def avg_stats(
     results: DataFrame,
@@ -49,11 +55,12 @@ def avg_stats(
     NaN. Otherwise nulls are skipped and one NaN makes its group NaN.
 
     ``join``: ``"broadcast"`` sends the biographies to every task;
-    ``"combine"`` counts equal results first and shuffles both sides;
-    ``"auto"`` measures the biographies (one aggregate over the columns used)
-    and broadcasts up to ``broadcast_bytes``. On a stream ``"auto"``
-    broadcasts only files, whose list is fixed when they are loaded; a
-    database table is read anew in each epoch and may outgrow the measurement.
+    ``"shuffle"`` looks for hot athletes (one aggregate over their ids), counts
+    their equal results and shuffles both sides; ``"auto"`` measures the
+    biographies (one aggregate over the columns used) and broadcasts up to
+    ``broadcast_bytes``. On a stream ``"auto"`` broadcasts only files, whose
+    list is fixed when they are loaded; a database table is read anew in each
+    epoch and may outgrow the measurement.
 
     ``scale``: sum the measures as decimals with so many digits, which makes
     the averages the same to the bit whatever the order of rows. NaN then
@@ -61,8 +68,8 @@ def avg_stats(
     """
     if country_from not in ("event", "bio"):
         raise ValueError("country_from is 'event' or 'bio'")
-    if join not in ("auto", "broadcast", "combine"):
-        raise ValueError("join is 'auto', 'broadcast' or 'combine'")
+    if join not in ("auto", "broadcast", "shuffle"):
+        raise ValueError("join is 'auto', 'broadcast' or 'shuffle'")
 
     result_columns = [KEY, "sport", "medal"]
     bio_columns = [KEY, "sex"]
@@ -77,9 +84,11 @@ def avg_stats(
 
     totals = _totals(bio, bio_columns, scale)
     if join == "broadcast":
-        joined = results.withColumn("n", F.lit(1)).join(F.broadcast(totals), KEY)
+        joined = _each_once(results).join(F.broadcast(totals), KEY)
+    elif results.isStreaming:
+        joined = _count_in_tasks(results).join(totals, KEY)
     else:
-        joined = _count_equal(results).join(totals, KEY)
+        joined = _join_hot_apart(results, totals)
 
     return joined.groupBy(*GROUP).agg(
         *[_average(name).alias(f"avg_{name}") for name in MEASURES],
@@ -103,16 +112,47 @@ def _average(name: str) -> Column:
     return F.try_divide(total, F.sum(F.col("n") * F.col(f"count_{name}")))
 
 
-def _count_equal(results: DataFrame) -> DataFrame:
-    """Equal rows as one row with their number ``n``.
+def _each_once(results: DataFrame) -> DataFrame:
+    return results.withColumn("n", F.lit(1).cast("long"))
 
-    In a batch, tasks count their own rows and a shuffle adds them up. On a
-    stream that would be a second stateful aggregate, so each Arrow batch is
-    counted by itself: no state, no shuffle, and the same sums later on.
+
+def _join_hot_apart(results: DataFrame, totals: DataFrame) -> DataFrame:
+    """Join by shuffling; rows of hot athletes are counted beforehand.
+
+    Tasks count their own rows of a hot athlete before the shuffle, which costs
+    a second, small shuffle for these rows only.
+    """
+    hot = hot_keys(results)
+    if not hot:
+        return _each_once(results).join(totals, KEY)
+    is_hot = F.col(KEY).isin(hot)
+    counted = (
+        results.filter(is_hot).groupBy(*results.columns).agg(F.count("*").alias("n"))
+    )
+    return (
+        _each_once(results.filter(~is_hot))
+        .join(totals.filter(~is_hot), KEY)
+        .unionByName(counted.join(totals.filter(is_hot), KEY))
+    )
+
+
+def hot_keys(results: DataFrame, share: float = HOT_SHARE) -> list:
+    """Athletes with more than ``share`` of the rows, at most ``1 / share``.
+
+    A frequent-items sketch in one pass over one column: only the sketches of
+    the tasks are brought together.
     """
-    if not results.isStreaming:
-        return results.groupBy(*results.columns).agg(F.count("*").alias("n"))
+    top = F.expr(f"approx_top_k({KEY}, {int(1 / share)}, {HOT_TRACKED})")
+    found = results.agg(top.alias("items"), F.count("*").alias("rows")).first()
+    return [i["item"] for i in found["items"] if i["count"] > share * found["rows"]]
+
 
+def _count_in_tasks(results: DataFrame) -> DataFrame:
+    """Equal rows of a stream as one row with their number ``n``.
+
+    A grouped count would be a second stateful aggregate, so each Arrow batch is
+    counted by itself: no state, no shuffle, and the same sums later on.
+    """
     names = results.columns
 
     def count_each(batches):
@@ -134,7 +174,7 @@ def _choose_join(
     small = measured_bytes(bio, columns, extra=16 * len(MEASURES)) <= limit
     if small and (not results.isStreaming or bio.inputFiles()):
         return "broadcast"
-    return "combine"
+    return "shuffle"
 
 
 def measured_bytes(df: DataFrame, columns: list[str], extra: int = 0) -> int:

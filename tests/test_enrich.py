@@ -6,11 +6,11 @@ from collections import defaultdict
 
 import pytest
 
-from podium.operators.enrich import avg_stats, measured_bytes
+from podium.operators.enrich import avg_stats, hot_keys, measured_bytes
 
 RES = "athlete_id int, sport string, medal string, country_noc string"
 BIO = "athlete_id int, sex string, country_noc string, height double, weight double"
-JOINS = ["broadcast", "combine"]
+JOINS = ["broadcast", "shuffle"]
 
 
 @pytest.fixture(params=[True, False], ids=["spark-broadcasts", "sort-merge"])
@@ -154,7 +154,35 @@ def test_join_follows_the_measured_size(spark):
 
     assert "strategy=broadcast" in plan()
     assert "strategy=broadcast" not in plan(broadcast_bytes=10)
-    assert "count(1) AS n" in plan(broadcast_bytes=10)
+
+
+def test_only_hot_athletes_are_counted_before_the_join(spark):
+    def results(share):
+        hot = f"if(id % {share} = 0, -1, id)" if share else "id"
+        return spark.range(0, 30_000, 1, 4).selectExpr(
+            f"{hot} as athlete_id", "'g' as sport", "'Gold' as medal", "'A' as country_noc"
+        )
+
+    assert hot_keys(results(3)) == [-1]
+    assert hot_keys(results(None)) == []
+    bio = spark.range(-1, 30_000).selectExpr(
+        "id as athlete_id", "'M' as sex", "'X' as country_noc",
+        "if(id < 0, 200D, 100D) as height", "1D as weight",
+    )
+    skewed = avg_stats(results(3), bio, join="shuffle")
+    plan = skewed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("count(1) AS n") == 1 and "Union" in plan
+    assert skewed.first().avg_height == (10_000 * 200 + 20_000 * 100) / 30_000
+    even = avg_stats(results(None), bio, join="shuffle")
+    assert "Union" not in even._jdf.queryExecution().optimizedPlan().toString()
+    assert even.first().avg_height == 100.0
+
+
+def test_hot_keys_of_text_and_of_nothing(spark):
+    ids = spark.createDataFrame([("a",)] * 3 + [("b",)], "athlete_id string")
+    assert sorted(hot_keys(ids)) == ["a", "b"]
+    assert hot_keys(ids, share=0.5) == ["a"]
+    assert hot_keys(ids.limit(0)) == []
 
 
 def test_measured_size_counts_text_of_any_length(spark):

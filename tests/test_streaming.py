@@ -62,7 +62,7 @@ def run(spark, feed, bio, sinks, checkpoint, **options):
     return query
 
 
-@pytest.mark.parametrize("join", ["broadcast", "combine", "auto"])
+@pytest.mark.parametrize("join", ["broadcast", "shuffle", "auto"])
 @pytest.mark.parametrize("country_from", ["event", "bio"])
 def test_stream_equals_batch(spark, tmp_path, bio, join, country_from):
     feed, table = str(tmp_path / "feed"), str(tmp_path / "table")
@@ -84,7 +84,7 @@ def test_stream_equals_batch(spark, tmp_path, bio, join, country_from):
 def test_counting_on_a_stream_needs_no_state_of_its_own(spark, tmp_path, bio):
     feed = str(tmp_path / "feed")
     publish(spark, feed, (0, 3000))
-    query = run(spark, feed, bio, [to_table(str(tmp_path / "t"))], str(tmp_path / "c"), join="combine")
+    query = run(spark, feed, bio, [to_table(str(tmp_path / "t"))], str(tmp_path / "c"), join="shuffle")
     assert [len(p.stateOperators) for p in query.recentProgress][0] == 1
 
 
