@@ -1,6 +1,7 @@
 """Each registered query against its SQL, on the same Parquet tables."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = Path("/root/testdata/sf0.01")
+SF_DIR = Path(os.environ.get("PODIUM_SF_DIR", "/root/testdata/sf0.01"))
 
 
 def comparable(value):
