@@ -4,9 +4,12 @@ import datetime as dt
 import math
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from podium.functions.codec import decode_json, encode_json, unwrap_json
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS, with_names
+from podium.sinks import write_topic
 
 
 def messages(spark, *values):
@@ -105,3 +108,35 @@ def test_reader_that_names_the_country_otherwise_gets_null(spark):
     row = decode_json(encode_json(df), schema).first()
     assert row.noc_country is None and row.avg_height == 1.0
     assert decode_json(encode_json(df), ENRICHED_AVG).first().country_noc == "N1"
+
+
+TEXT = st.text(st.characters(exclude_categories=["Cs"]), max_size=20)
+ROWS = st.lists(
+    st.tuples(
+        st.integers(0, 10**6),
+        st.one_of(st.none(), TEXT),
+        st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)),
+        st.one_of(st.none(), st.floats(allow_infinity=False, allow_nan=False)),
+        st.one_of(st.none(), st.booleans()),
+    ),
+    min_size=50,
+    max_size=200,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows=ROWS)
+def test_any_row_comes_back_from_its_message(spark, rows):
+    df = spark.createDataFrame(rows, "k int, t string, i int, d double, b boolean")
+    assert decode_json(encode_json(df), df.schema).collect() == df.collect()
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows=ROWS)
+def test_any_row_comes_back_from_its_message_in_a_file(spark, tmp_path_factory, rows):
+    """One message is one line, whatever line breaks the text has."""
+    feed = str(tmp_path_factory.mktemp("feed") / "f")
+    df = spark.createDataFrame(rows, "k int, t string, i int, d double, b boolean")
+    write_topic(encode_json(df), feed, fmt="text")
+    back = decode_json(spark.read.text(feed), df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))

@@ -183,6 +183,20 @@ def test_hot_keys_of_text_and_of_nothing(spark):
     assert sorted(hot_keys(ids)) == ["a", "b"]
     assert hot_keys(ids, share=0.5) == ["a"]
     assert hot_keys(ids.limit(0)) == []
+    assert hot_keys(spark.createDataFrame([(None,), ("a",)], "athlete_id string")) == ["a"]
+
+
+def test_hot_keys_among_many_are_found_wherever_they_lie(spark):
+    """Spread over all tasks, in one task only, and just below the share."""
+    spread = spark.range(0, 400_000, 1, 40).selectExpr("if(id % 50 = 0, -1, id) as athlete_id")
+    packed = spark.range(0, 4_000, 1, 1).selectExpr("-2L as athlete_id")
+    rare = spark.range(0, 100, 1, 1).selectExpr("-3L as athlete_id")
+    assert sorted(hot_keys(spread.union(packed).union(rare))) == [-2, -1]
+
+
+def test_one_athlete_has_all_results(spark):
+    one = spark.range(0, 10_000, 1, 4).selectExpr("7 as athlete_id")
+    assert hot_keys(one) == [7]
 
 
 def test_measured_size_counts_text_of_any_length(spark):
