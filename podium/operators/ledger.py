@@ -56,7 +56,7 @@ def append_count(
         F.col("medal_type"),
         F.col("count").cast("long").alias("count"),
         F.current_timestamp().alias("created_at"),
-    ).coalesce(1)
+    )
     if jdbc is not None:
         write_jdbc(entries, column_types=LEDGER_COLUMN_TYPES, **jdbc)
     else:

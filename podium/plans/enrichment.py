@@ -10,8 +10,8 @@ from podium.functions.codec import decode_json, encode_json
 from podium.operators.enrich import avg_stats
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS
 from podium.sinks import preview, write_topic
-from podium.streaming.console import CONSOLE_ROWS, to_console, write_console
-from podium.streaming.fanout import Sink, fan_out
+from podium.streaming.console import CONSOLE_ROWS, Sink, to_console, write_console
+from podium.streaming.fanout import fan_out
 
 
 def publish_table(
@@ -59,6 +59,8 @@ def enrich_stream(
     stats = avg_stats(results, bio, country_from, drop_missing, **options)
     if console:
         sinks = [to_console(console_rows), *sinks]
+    if not sinks:
+        raise ValueError("a stream that keeps state needs a sink that reads it")
     writer = (
         stats.writeStream.outputMode("complete")
         .foreachBatch(fan_out(*sinks))

@@ -1,15 +1,19 @@
 """Micro-batches on the console."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+Sink = Callable[[DataFrame, int], None]
+
 # Fixed value: rows shown of an epoch.
 CONSOLE_ROWS = 50
 
 
 def to_console(
     rows: int = CONSOLE_ROWS, truncate: bool = False, stateful: bool = True
-):
+) -> Sink:
     """Sink that prints the first ``rows`` rows of an epoch.
 
     Spark's own console sink brings the whole micro-batch to the driver; this

@@ -6,7 +6,6 @@ transaction, and an epoch that fails midway runs again after a restart.
 """
 
 import logging
-from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.codec import encode_json
 from podium.sinks import write_jdbc, write_topic
-
-Sink = Callable[[DataFrame, int], None]
+from podium.streaming.console import Sink
 
 log = logging.getLogger(__name__)
 

@@ -4,9 +4,11 @@ import math
 
 import pytest
 
+from podium.functions.codec import decode_json
 from podium.operators.enrich import avg_stats
 from podium.plans import consume_topic, enrich_stream, publish_table
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS, with_names
+from podium.sinks import write_topic
 from podium.sources import read_topic
 from podium.streaming import (
     fan_out,
@@ -19,6 +21,7 @@ from podium.streaming import (
 
 RES = "athlete_id int, sport string, medal string, country_noc string"
 BIO = "athlete_id int, sex string, country_noc string, height double, weight double"
+RES_FIELDS = ["athlete_id", "sport", "medal"]
 SPARK_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
 
@@ -183,8 +186,6 @@ def test_consumer_keeps_broken_messages_as_nulls(spark, tmp_path, bio, fmt):
     stats = avg_stats(results(spark, 0, 50), bio)
     publish_table(stats, feed, fmt=fmt)
     broken = spark.createDataFrame([(None, "not json")], "key string, value string")
-    from podium.sinks import write_topic
-
     write_topic(broken, feed, fmt=fmt)
     consume_topic(
         read_topic(spark, feed, fmt=fmt, max_per_trigger=1, fail_on_data_loss=False),
@@ -292,6 +293,35 @@ def test_console_shows_no_more_rows_than_asked(spark, capsys):
     assert "Batch: 4" in out and "only showing top 3 rows" in out
 
 
+def test_two_queries_of_one_plan_at_the_same_time(spark, tmp_path, bio, capsys):
+    feed, table = str(tmp_path / "feed"), str(tmp_path / "table")
+    publish(spark, feed, (0, 100), (100, 200))
+    stream = read_topic(spark, feed, fmt="text", max_per_trigger=1)
+    stats = avg_stats(decode_json(stream, EVENT_RESULTS, RES_FIELDS), bio, "bio", True)
+    console = write_console(stats, "complete", rows=2, checkpoint=str(tmp_path / "c1"))
+    stored = (
+        stats.writeStream.outputMode("complete")
+        .foreachBatch(fan_out(to_table(table)))
+        .option("checkpointLocation", str(tmp_path / "c2"))
+        .start()
+    )
+    for query in (console, stored):
+        query.processAllAvailable()
+        query.stop()
+    out = capsys.readouterr().out
+    assert "Batch: 1" in out and "only showing top 2 rows" in out
+    assert rows(latest_snapshot(spark, table)) == rows(
+        avg_stats(results(spark, 0, 200), bio, "bio", drop_missing=True)
+    )
+
+
+def test_enrichment_without_a_sink_is_refused(spark, tmp_path, bio):
+    feed = str(tmp_path / "feed")
+    publish(spark, feed, (0, 10))
+    with pytest.raises(ValueError):
+        run(spark, feed, bio, [], str(tmp_path / "c"))
+
+
 def test_unknown_snapshot_is_refused():
     with pytest.raises(ValueError):
         to_table("x", "other")
