@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from podium.functions.codec import decode_json, encode_json
 from podium.operators.clean import drop_duplicate_rows, drop_missing, normalize_text
@@ -20,6 +21,7 @@ from podium.operators.ledger import ROTATED_PAIRS, count_pairs, count_where, rec
 from podium.plans.enrichment import consume_topic, enrich_stream, publish_table
 from podium.plans.ledger import record_medal_count
 from podium.plans.medallion import BIO, RESULTS, bronze_to_silver, landing_to_bronze, run_medallion
+from podium.schemas import ENRICHED_AVG, with_names
 from podium.shared import working_dir
 from podium.sinks import write_layer
 from podium.sources import read_topic
@@ -174,6 +176,10 @@ def silver_normalize(spark, sf_dir):
     return bronze_to_silver(spark, root, ["part"])["part"]
 
 
+def text_normalize(spark, sf_dir):
+    return normalize_text(_table(spark, sf_dir, "documents"))
+
+
 def silver_dedupe(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("text", "lang")
     return drop_duplicate_rows(normalize_text(documents))
@@ -218,16 +224,40 @@ def json_unwrap(spark, sf_dir):
     return decode_json(twice, res.schema, unwrap=True)
 
 
-def publish_consume(spark, sf_dir):
+def json_unwrap_lossy(spark, sf_dir):
+    """Messages with JSON text inside do not survive unwrapping."""
+    events = _table(spark, sf_dir, "events").select("event_id", "props")
+    back = decode_json(encode_json(events), events.schema, unwrap=True)
+    return back.agg(
+        F.count("*").alias("messages"), F.count_if(F.col("event_id").isNull()).alias("lost")
+    )
+
+
+def _consumed(spark: SparkSession, stats: DataFrame, schema: StructType) -> DataFrame:
+    """Publish averages and read them again by ``schema``."""
     feed, table = working_dir(spark, "feed"), working_dir(spark, "consumed")
-    stats = avg_stats(_res(spark, sf_dir), _bio(spark, sf_dir), country_from="event")
     publish_table(stats, feed, fmt="text")
     consume_topic(
         read_topic(spark, feed, fmt="text", max_per_trigger=50),
+        schema=schema,
         path=table,
         checkpoint=working_dir(spark, "checkpoint"),
     ).awaitTermination()
-    return _nan_flagged(spark.read.parquet(table))
+    return spark.read.parquet(table)
+
+
+def publish_consume(spark, sf_dir):
+    stats = avg_stats(_res(spark, sf_dir), _bio(spark, sf_dir), country_from="event")
+    return _nan_flagged(_consumed(spark, stats, ENRICHED_AVG))
+
+
+def publish_consume_renamed(spark, sf_dir):
+    """A consumer that calls the country otherwise finds null there."""
+    stats = avg_stats(
+        _res(spark, sf_dir), _bio(spark, sf_dir), country_from="bio", drop_missing=True
+    )
+    schema = with_names(ENRICHED_AVG, {"country_noc": "noc_country"})
+    return _consumed(spark, stats, schema).drop("timestamp")
 
 
 # --- ledger ---------------------------------------------------------------
@@ -274,13 +304,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fan_out_snapshots": fan_out_snapshots,
         "drop_missing": drop_missing_query,
         "silver_normalize": silver_normalize,
+        "text_normalize": text_normalize,
         "silver_dedupe": silver_dedupe,
         "csv_to_bronze": csv_to_bronze,
         "medallion_end_to_end": medallion_end_to_end,
         "json_roundtrip": json_roundtrip,
         "json_roundtrip_escaped": json_roundtrip_escaped,
         "json_unwrap": json_unwrap,
+        "json_unwrap_lossy": json_unwrap_lossy,
         "publish_consume": publish_consume,
+        "publish_consume_renamed": publish_consume_renamed,
         "medal_counts": medal_counts,
         "medal_count_gold": medal_count_gold,
         "ledger_rotated": ledger_rotated,
@@ -345,6 +378,10 @@ def oracle_sql() -> dict[str, str]:
         "silver_normalize": (
             f"select distinct p_partkey, {cleaned_part}, p_size, p_retailprice from part"
         ),
+        "text_normalize": (
+            "select doc_id, trim(lower(text), ' ') as text, trim(lower(lang), ' ') as lang, "
+            "trim(lower(source), ' ') as source, n_chars from documents"
+        ),
         "silver_dedupe": (
             "select distinct trim(lower(text), ' ') as text, trim(lower(lang), ' ') as lang "
             "from documents"
@@ -354,7 +391,16 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip": f"{views} select * from res",
         "json_roundtrip_escaped": "select * from events",
         "json_unwrap": f"{views} select * from res",
+        "json_unwrap_lossy": (
+            "select count(*) as messages, "
+            "count(*) filter (where props like '%\"%') as lost from events"
+        ),
         "publish_consume": gold,
+        "publish_consume_renamed": (
+            f"{views}, stats as ({enriched}) "
+            "select sport, medal, sex, cast(null as varchar) as noc_country, "
+            "avg_height, avg_weight from stats"
+        ),
         "medal_counts": views
         + " union all ".join(
             f"select '{m}' as medal_type, count(*) as \"count\" from res where medal = '{m}'"

@@ -104,6 +104,8 @@ def run_enrich(spark, args):
         sinks,
         args.checkpoint,
         unwrap=args.unwrap,
+        country_from=args.country_from,
+        drop_missing=not args.keep_missing,
         available_now=args.available_now,
         console=args.console,
     ).awaitTermination()
@@ -188,6 +190,8 @@ def parser() -> argparse.ArgumentParser:
     enrich.add_argument("--out-topic")
     enrich.add_argument("--out-table")
     enrich.add_argument("--snapshot", default="append", choices=["append", "replace"])
+    enrich.add_argument("--country-from", default="bio", choices=["bio", "event"])
+    enrich.add_argument("--keep-missing", action="store_true")
     enrich.add_argument("--max-per-trigger", type=int)
     enrich.add_argument("--available-now", action="store_true")
     enrich.add_argument("--unwrap", action="store_true")

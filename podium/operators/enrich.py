@@ -76,7 +76,8 @@ def avg_stats(
     bio_columns = [KEY, "sex"]
     (result_columns if country_from == "event" else bio_columns).append("country_noc")
 
-    results = results.select(result_columns).filter(F.col(KEY).isNotNull())
+    results, bio = _same_keys(results.select(result_columns), bio)
+    results = results.filter(F.col(KEY).isNotNull())
     bio = bio.filter(F.col(KEY).isNotNull())
     if drop_missing:
         bio = only_measured(bio, MEASURES)
@@ -97,6 +98,19 @@ def avg_stats(
     )
 
 
+def _same_keys(results: DataFrame, bio: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids left as text by inference, as the type they have on the other side.
+
+    Text that is no such id gives null and so matches nothing.
+    """
+    left, right = results.schema[KEY].dataType, bio.schema[KEY].dataType
+    if left != right and isinstance(left, T.StringType):
+        results = results.withColumn(KEY, F.col(KEY).try_cast(right))
+    elif left != right and isinstance(right, T.StringType):
+        bio = bio.withColumn(KEY, F.col(KEY).try_cast(left))
+    return results, bio
+
+
 def _totals(bio: DataFrame, columns: list[str], scale: int | None) -> DataFrame:
     """Sum and count of each measure per athlete, sex and, if used, country."""
     sums = []
@@ -178,7 +192,7 @@ def _count_in_tasks(results: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            counted = pa.Table.from_batches([batch]).group_by(names)
+            counted = pa.Table.from_batches([batch]).group_by(names, use_threads=False)
             counted = counted.aggregate([([], "count_all")])
             counted = counted.select([*names, "count_all"])
             yield from counted.rename_columns([*names, "n"]).to_batches()

@@ -70,7 +70,8 @@ def to_table(path: str, snapshot: str = "append") -> Sink:
     """Write to a Parquet table at ``path``.
 
     ``"append"`` keeps each epoch, in a column ``epoch_id``. An epoch that runs
-    again replaces itself. ``"replace"`` keeps the latest epoch only.
+    again replaces itself; epochs are numbered by the checkpoint, so a new
+    checkpoint needs a new table. ``"replace"`` keeps the latest epoch only.
     """
     if snapshot not in ("append", "replace"):
         raise ValueError("snapshot is 'append' or 'replace'")

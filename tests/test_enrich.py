@@ -106,6 +106,23 @@ def test_text_measures(spark, join):
     assert (row.avg_height, row.avg_weight) == (180.0, 75.0)
 
 
+@pytest.mark.parametrize("join", JOINS)
+@pytest.mark.parametrize("text_side", ["results", "bio"])
+def test_ids_left_as_text_on_one_side(spark, join, text_side):
+    ids = {"results": "athlete_id int", "bio": "athlete_id long", text_side: "athlete_id string"}
+    keys = ["1", "na"] if text_side == "results" else [1, 2]
+    results = spark.createDataFrame(
+        [(k, "g", "Gold", "A") for k in keys], f"{ids['results']}, sport string, medal string, country_noc string"
+    )
+    keys = ["1", "na"] if text_side == "bio" else [1, 2]
+    bio = spark.createDataFrame(
+        [(k, "M", "X", 180.0, 70.0) for k in keys],
+        f"{ids['bio']}, sex string, country_noc string, height double, weight double",
+    )
+    rows = avg_stats(results, bio, join=join).drop("timestamp").collect()
+    assert rows == [("g", "Gold", "M", "A", 180.0, 70.0)]
+
+
 @pytest.mark.parametrize("join", JOINS)
 def test_cents_are_summed_exactly(spark, join):
     results = [(i % 7, "golf", "Gold", "A") for i in range(999)]
