@@ -35,6 +35,9 @@ HOT_SHARE = 0.001
 HOT_TRACKED = 10_000
 HOT_SKETCHES = 1024
 
+# Counts a task of a stream holds before it passes them on.
+HELD_ROWS = 200_000
+
 
 def avg_stats(
     results: DataFrame,
@@ -55,7 +58,8 @@ def avg_stats(
     ``drop_missing``: leave out biographies whose height or weight is null or
     NaN. Otherwise nulls are skipped and one NaN makes its group NaN.
 
-    ``join``: ``"broadcast"`` sends the biographies to every task;
+    ``join``: ``"broadcast"`` sends the biographies to every task, and fails
+    when they measure more than ``broadcast_bytes``;
     ``"shuffle"`` looks for hot athletes (one aggregate over their ids), counts
     their equal results and shuffles both sides; ``"auto"`` measures the
     biographies (one aggregate over the columns used) and broadcasts up to
@@ -81,8 +85,8 @@ def avg_stats(
     bio = bio.filter(F.col(KEY).isNotNull())
     if drop_missing:
         bio = only_measured(bio, MEASURES)
-    if join == "auto":
-        join = _choose_join(results, bio, bio_columns, broadcast_bytes)
+    if join != "shuffle":
+        join = _measured_join(join, results, bio, bio_columns, broadcast_bytes)
 
     totals = _totals(bio, bio_columns, scale)
     if join == "broadcast":
@@ -181,33 +185,46 @@ def hot_keys(results: DataFrame, share: float = HOT_SHARE) -> list:
 
 
 def _count_in_tasks(results: DataFrame) -> DataFrame:
-    """Equal rows of a stream as one row with their number ``n``.
+    """Equal rows of a stream as few rows with their number ``n``.
 
-    A grouped count would be a second stateful aggregate, so each Arrow batch is
-    counted by itself: no state, no shuffle, and the same sums later on.
+    A grouped count would be a second stateful aggregate, so each task counts
+    its own rows: no state, no shuffle, and the same sums later on. A task holds
+    a limited number of counts and passes them on when they do not shrink.
     """
     names = results.columns
 
     def count_each(batches):
         import pyarrow as pa
 
+        def grouped(table, column, function):
+            counts = table.group_by(names, use_threads=False).aggregate([(column, function)])
+            return counts.select([*names, counts.column_names[-1]]).rename_columns([*names, "n"])
+
+        held, size = [], 0
         for batch in batches:
-            counted = pa.Table.from_batches([batch]).group_by(names, use_threads=False)
-            counted = counted.aggregate([([], "count_all")])
-            counted = counted.select([*names, "count_all"])
-            yield from counted.rename_columns([*names, "n"]).to_batches()
+            held.append(grouped(pa.Table.from_batches([batch]), [], "count_all"))
+            size += held[-1].num_rows
+            if size > HELD_ROWS:
+                together = grouped(pa.concat_tables(held), "n", "sum")
+                held, size = [together], together.num_rows
+                if size > HELD_ROWS // 2:
+                    yield from together.to_batches()
+                    held, size = [], 0
+        if held:
+            yield from grouped(pa.concat_tables(held), "n", "sum").to_batches()
 
     schema = T.StructType([*results.schema.fields, T.StructField("n", T.LongType())])
     return results.mapInArrow(count_each, schema)
 
 
-def _choose_join(
-    results: DataFrame, bio: DataFrame, columns: list[str], limit: int
+def _measured_join(
+    join: str, results: DataFrame, bio: DataFrame, columns: list[str], limit: int
 ) -> str:
-    small = measured_bytes(bio, columns, extra=16 * len(MEASURES)) <= limit
-    if small and (not results.isStreaming or bio.inputFiles()):
-        return "broadcast"
-    return "shuffle"
+    size = measured_bytes(bio, columns, extra=16 * len(MEASURES))
+    if join == "broadcast" and size > limit:
+        raise ValueError(f"biographies of {size} bytes are too large to broadcast")
+    small = size <= limit and (not results.isStreaming or bio.inputFiles())
+    return "broadcast" if join == "broadcast" or small else "shuffle"
 
 
 def measured_bytes(df: DataFrame, columns: list[str], extra: int = 0) -> int:

@@ -5,7 +5,9 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from podium.operators import enrich
 from podium.operators.enrich import avg_stats, hot_keys, measured_bytes
 
 RES = "athlete_id int, sport string, medal string, country_noc string"
@@ -216,6 +218,29 @@ def test_one_athlete_has_all_results(spark):
     assert hot_keys(one) == [7]
 
 
+def test_broadcast_of_large_biographies_is_refused(spark):
+    results = spark.createDataFrame([(1, "g", "Gold", "A")], RES)
+    bio = spark.createDataFrame([(1, "M", "X", 1.0, 1.0)], BIO)
+    with pytest.raises(ValueError, match="too large"):
+        avg_stats(results, bio, join="broadcast", broadcast_bytes=10)
+
+
+@pytest.mark.parametrize("held", [10, 1000, 200_000])
+@pytest.mark.parametrize("ids", ["if(id % 3 = 0, -1, id % 2000)", "id", "id % 5", "null"])
+def test_tasks_count_equal_rows(spark, monkeypatch, held, ids):
+    monkeypatch.setattr(enrich, "HELD_ROWS", held)
+    rows = spark.range(0, 45_000, 1, 2).selectExpr(
+        f"cast({ids} as int) as athlete_id", "if(id % 2 = 0, 'g', null) as sport"
+    )
+    counted = enrich._count_in_tasks(rows)
+    total = counted.groupBy("athlete_id", "sport").agg(F.sum("n").alias("n"))
+    assert sorted(map(str, total.collect())) == sorted(
+        map(str, rows.groupBy("athlete_id", "sport").agg(F.count("*").alias("n")).collect())
+    )
+    if held == 200_000 and ids != "id":
+        assert counted.count() <= 2 * rows.distinct().count()
+
+
 def test_measured_size_counts_text_of_any_length(spark):
     short = spark.createDataFrame([(1, "M", "X", 1.0, 1.0)] * 10, BIO)
     long = spark.createDataFrame([(1, "M" * 1000, "X", 1.0, 1.0)] * 10, BIO)
