@@ -43,8 +43,8 @@ def read_jdbc(
     the database is asked for the least and greatest key, so that the ranges
     cover the keys there are. A range holds all rows of its keys: where one
     athlete may have a large part of the results, read those in ranges of
-    ``result_id``, which is different on each row. ``None`` reads a small table
-    in one go.
+    another column, such as ``result_id``. ``None`` reads a small table in one
+    go.
     """
     access = jdbc_options(url, table, driver, user, password)
     options = {**access, "fetchsize": str(FETCH_ROWS)}

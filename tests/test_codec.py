@@ -52,6 +52,15 @@ def test_chosen_fields_are_as_in_the_whole_message(spark):
     assert some == every
 
 
+def test_message_is_parsed_once_when_filtered_later(spark, tmp_path):
+    messages(spark, '{"athlete_id":1}').write.text(str(tmp_path / "feed"))
+    feed = spark.read.text(str(tmp_path / "feed"))
+    later = decode_json(feed, EVENT_RESULTS, ["athlete_id", "sport"]).filter("athlete_id > 0")
+    plan = later._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert later.count() == 1
+
+
 def test_key_is_null_and_null_fields_are_left_out(spark):
     df = spark.createDataFrame([(1, None)], "athlete_id int, medal string")
     row = encode_json(df).first()
