@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from podium.operators.clean import as_measure, quoted
 from podium.operators.clean import drop_missing as only_measured
+from podium.shared import working_dir
 
 KEY = "athlete_id"
 GROUP = ["sport", "medal", "sex", "country_noc"]
@@ -65,7 +66,8 @@ def avg_stats(
     biographies (one aggregate over the columns used) and broadcasts up to
     ``broadcast_bytes``. On a stream ``"auto"`` broadcasts only files, whose
     list is fixed when they are loaded; a database table is read anew in each
-    epoch and may outgrow the measurement.
+    epoch and may outgrow the measurement. Sums of biographies in files are
+    written once, to the shared folder, when a stream starts.
 
     ``scale``: sum the measures as decimals with so many digits, which makes
     the averages the same to the bit whatever the order of rows. NaN then
@@ -85,10 +87,13 @@ def avg_stats(
     bio = bio.filter(F.col(KEY).isNotNull())
     if drop_missing:
         bio = only_measured(bio, MEASURES)
+    fixed = not results.isStreaming or bool(bio.inputFiles())
     if join != "shuffle":
-        join = _measured_join(join, results, bio, bio_columns, broadcast_bytes)
+        join = _measured_join(join, fixed, bio, bio_columns, broadcast_bytes)
 
     totals = _totals(bio, bio_columns, scale)
+    if results.isStreaming and fixed:
+        totals = _written(totals)
     if join == "broadcast":
         joined = _each_once(results).join(F.broadcast(totals), KEY)
     elif results.isStreaming:
@@ -217,14 +222,22 @@ def _count_in_tasks(results: DataFrame) -> DataFrame:
     return results.mapInArrow(count_each, schema)
 
 
+def _written(totals: DataFrame) -> DataFrame:
+    """The totals as a table, so that no epoch of a stream adds them up again."""
+    path = working_dir(totals.sparkSession, "totals")
+    totals.write.parquet(path)
+    return totals.sparkSession.read.parquet(path)
+
+
 def _measured_join(
-    join: str, results: DataFrame, bio: DataFrame, columns: list[str], limit: int
+    join: str, fixed: bool, bio: DataFrame, columns: list[str], limit: int
 ) -> str:
     size = measured_bytes(bio, columns, extra=16 * len(MEASURES))
     if join == "broadcast" and size > limit:
         raise ValueError(f"biographies of {size} bytes are too large to broadcast")
-    small = size <= limit and (not results.isStreaming or bio.inputFiles())
-    return "broadcast" if join == "broadcast" or small else "shuffle"
+    if join == "broadcast" or (fixed and size <= limit):
+        return "broadcast"
+    return "shuffle"
 
 
 def measured_bytes(df: DataFrame, columns: list[str], extra: int = 0) -> int:

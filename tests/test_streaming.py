@@ -5,6 +5,7 @@ import math
 import pytest
 
 from podium.functions.codec import decode_json
+from podium.operators import enrich
 from podium.operators.enrich import avg_stats
 from podium.plans import consume_topic, enrich_stream, publish_table
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS, with_names
@@ -180,6 +181,28 @@ def test_stream_broadcasts_measured_files_only(spark, tmp_path, bio):
     assert "MapInArrow" in plan(bio)
 
 
+@pytest.mark.parametrize("join", ["broadcast", "shuffle"])
+def test_sums_of_biographies_in_files_are_written_once(spark, tmp_path, bio, join, monkeypatch):
+    feed, where, table = (str(tmp_path / p) for p in ("feed", "bio", "table"))
+    publish(spark, feed, (0, 50), (50, 100))
+    bio.write.parquet(where)
+    written = []
+
+    def counting(totals):
+        written.append(totals.columns)
+        return write(totals)
+
+    write = enrich._written
+    monkeypatch.setattr(enrich, "_written", counting)
+    static = spark.read.parquet(where)
+    run(spark, feed, static, [to_table(table)], str(tmp_path / "c"), join=join)
+    assert len(written) == 1
+    batch = avg_stats(results(spark, 0, 100), bio, "bio", drop_missing=True)
+    assert rows(latest_snapshot(spark, table)) == rows(batch)
+    run(spark, feed, bio, [to_table(table)], str(tmp_path / "c2"), join=join)
+    assert len(written) == 1
+
+
 @pytest.mark.parametrize("fmt", ["text", "parquet"])
 def test_consumer_keeps_broken_messages_as_nulls(spark, tmp_path, bio, fmt):
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
