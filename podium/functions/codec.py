@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The character and the pattern that unwrapping takes away.
+# What unwrapping takes away: every backslash, one quote at the
+# start and one at the end. The end is also before a last line break.
 BACKSLASH = "\\"
-OUTER_QUOTES = '^"|"$'
+QUOTE = '"'
+QUOTE_AT_END = '"$'
+LINE_BREAKS = ["\n", "\r", "\u0085", "\u2028", "\u2029"]
 
 
 def encode_json(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
@@ -31,8 +34,17 @@ def unwrap_json(column: Column) -> Column:
     this, and ``a\\b`` turns into ``ab``. Use it only on topics known to be
     encoded twice.
     """
-    bare = F.replace(column.cast("string"), F.lit(BACKSLASH), F.lit(""))
-    return F.regexp_replace(bare, OUTER_QUOTES, "")
+    value = F.replace(column.cast("string"), F.lit(BACKSLASH), F.lit(""))
+    value = F.when(value.startswith(QUOTE), F.substr(value, F.lit(2))).otherwise(value)
+    # The pattern is tried on the few values that need it.
+    return (
+        F.when(value.endswith(QUOTE), F.left(value, F.length(value) - 1))
+        .when(
+            F.right(value, F.lit(1)).isin(LINE_BREAKS),
+            F.regexp_replace(value, QUOTE_AT_END, ""),
+        )
+        .otherwise(value)
+    )
 
 
 def decode_json(
@@ -55,4 +67,5 @@ def decode_json(
     value = unwrap_json(value) if unwrap else value.cast("string")
     if fields is not None:
         schema = StructType([schema[name] for name in fields])
-    return messages.select(F.inline(F.array(F.from_json(value, schema, options))))
+    data = F.from_json("value", schema, options)
+    return messages.select(value.alias("value")).select(F.inline(F.array(data)))

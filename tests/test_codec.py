@@ -6,6 +6,7 @@ import math
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from podium.functions.codec import decode_json, encode_json, unwrap_json
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS, with_names
@@ -104,13 +105,23 @@ def test_unwrap_loses_escaped_quotes_and_backslashes(spark):
 
 
 def test_unwrap_takes_one_quote_from_each_end(spark):
-    from pyspark.sql import functions as F
-
     values = ['""a""', '"a', 'a"', 'a"b', '\\\\"', '"a"\n', None]
     got = messages(spark, *values).select(unwrap_json(F.col("value"))).collect()
     assert [r[0] for r in got] == ['"a"', "a", "a", 'a"b', "", "a\n", None]
 
 
+@settings(max_examples=20, deadline=None)
+@given(
+    values=st.lists(
+        st.text(st.sampled_from('"\\\\a{\n\r\x85\u2028 '), max_size=6), min_size=100, max_size=300
+    )
+)
+def test_unwrap_is_the_pattern(spark, values):
+    every = F.regexp_replace(F.regexp_replace("value", "\\\\", ""), '^"|"$', "")
+    got = messages(spark, *values).select(unwrap_json(F.col("value")), every).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
+
+
 def test_reader_that_names_the_country_otherwise_gets_null(spark):
     df = spark.createDataFrame([("N1", 1.0)], "country_noc string, avg_height double")
     schema = with_names(ENRICHED_AVG, {"country_noc": "noc_country"})
