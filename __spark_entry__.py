@@ -27,6 +27,19 @@ from podium.sinks import write_layer
 from podium.sources import read_topic
 from podium.streaming.fanout import latest_snapshot, to_table, to_topic
 
+try:
+    import corpus_pipeline
+    from podium.llm.queries import QUERIES as LLM_QUERIES
+    from podium.llm.queries import SQL as LLM_SQL
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline may be left out
+    if missing.name not in ("corpus_pipeline", "podium.llm", "podium.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_SQL = LLM_SQL | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
 RES_COLUMNS = [
     "o_custkey as athlete_id",
     "lower(o_orderpriority) as sport",
@@ -318,7 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "medal_count_gold": medal_count_gold,
         "ledger_rotated": ledger_rotated,
         "ledger_fresh": ledger_fresh,
-    }
+    } | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -417,4 +430,4 @@ def oracle_sql() -> dict[str, str]:
             "where ts > (select max(ts) from events) - interval 30 second "
             "order by ts desc limit 1"
         ),
-    }
+    } | LLM_SQL
