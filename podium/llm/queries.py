@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.common import remainder
+from podium.llm.common import kept, remainder
+from podium.llm.language import fit_language_model, predict_language
+from podium.llm.mixing import KEY_BITS, mix_sources
+from podium.llm.nearest import nearest_neighbours
+from podium.llm.ngram_join import jaccard_components
 from podium.llm.packing import pack_documents
+from podium.llm.simhash import compare_edited
 from podium.llm.token_counts import count_tokens
 from podium.llm.toxicity import fit_toxicity, score_toxicity
+from podium.llm.warc import read_segments, reassemble, write_archives
+from podium.shared import working_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,19 +40,157 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = working_dir(spark, "archives")
+    write_archives(_table(spark, sf_dir, "pages"), path)
+    whole = reassemble(read_segments(spark, path)).select(
+        F.substring_index("uri", ":", -1).cast("long").alias("page_id"),
+        "record_id",
+        F.col("kind").alias("record_type"),
+        F.col("digest").alias("payload_digest"),
+        F.col("refers_to").alias("origin"),
+        F.octet_length("payload").cast("long").alias("bytes"),
+    )
+    records = kept(whole, "records")
+    origins = (
+        records.filter("record_type = 'response'")
+        .groupBy(F.col("record_id").alias("origin"))
+        .agg(F.first("page_id").alias("refers_to"), F.first("bytes").alias("origin_bytes"))
+    )
+    return records.join(origins, "origin", "left").select(
+        "page_id",
+        F.coalesce("bytes", "origin_bytes").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = fit_language_model(docs.filter(~held_out))
+    return predict_language(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, 1024)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(_table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, 1024)
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc_reassembly": op2_warc_reassembly,
+    "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash": op5_simhash,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_token_counts": op8_token_counts,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
+_WARC_SQL = """
+with paged as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), named as (
+    select page_id, strlen(html) as payload_bytes,
+        min(page_id) over (partition by hex) as first_id,
+        array_to_string(list_transform(range(32), lambda i: substr(
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            cast(((('0x' || substr(hex, cast(5 * (i // 4) + 1 as integer), 5))::bigint
+                >> cast(15 - 5 * (i % 4) as integer)) & 31) + 1 as integer), 1)), '')
+            as payload_digest
+    from paged
+)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+    case when page_id = first_id then 'response' else 'revisit' end as record_type,
+    case when page_id <> first_id then first_id end as refers_to
+from named
+"""
+
+_MIXING_SQL = f"""
+with sized as (
+    select doc_id, source,
+        cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint)
+            as size,
+        cast('0x' || substr(md5(concat_ws(' ', coalesce(doc_id::varchar, ''), text)), 1,
+            {KEY_BITS // 4}) as bigint) as key
+    from documents
+), totals as (
+    select source, cast(sum(size) as bigint) as source_size from sized group by source
+), listed as (
+    select source, source_size, 2.0::double * source_size as cap, [3.0, 1.0, 2.0][
+        ((row_number() over (order by source collate "C" nulls last) - 1) % 3) + 1
+    ]::double as w
+    from totals
+), levelled as (
+    select *, 1.5::double * sum(source_size) over () as total,
+        sum(cap) over upto as caps, sum(w) over () - sum(w) over upto as rest
+    from listed
+    window upto as (order by cap / w, source nulls last rows unbounded preceding)
+), filled as (
+    select *, caps + cap / w * rest <= total as is_full from levelled
+), targets as (
+    select source, source_size, case when is_full then cap else
+        (total - sum(case when is_full then cap else 0 end) over ())
+        / nullif(sum(case when is_full then 0 else w end) over (), 0) * w end as target
+    from filled
+), placed as (
+    select doc_id, source, size, sum(size) over (
+        partition by source order by key, doc_id, size rows unbounded preceding
+    ) - size as start from sized
+), cut as (
+    select p.*, source_size, target, case when source_size > 0
+        then cast(floor(target) as bigint) // source_size else 0 end as passes
+    from placed p join targets t on p.source is not distinct from t.source
+)
+select doc_id, source, size, source_size, target, cast(passes * size + greatest(0, least(size,
+    cast(floor(target) as bigint) - passes * source_size - start)) as bigint) as taken
+from cut
+"""
+
+_NEAREST_SQL = """
+with usable as (
+    select vec_id, cast(embedding as double[]) as v from embeddings
+    where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored as (
+    select q.vec_id as query_id, r.vec_id,
+        list_dot_product(q.v, r.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(r.v, r.v)))
+            as score
+    from usable q join usable r on q.vec_id <> r.vec_id where q.vec_id % 50 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+    from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+"""
+
 #: For the others SQL has no equal: tests hold them against brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_warc_reassembly": _WARC_SQL,
+    "op9_source_mixing": _MIXING_SQL,
+    "op10_nearest_neighbours": _NEAREST_SQL,
+}
