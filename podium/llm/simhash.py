@@ -7,8 +7,8 @@ and the share of equal bits falls with the angle between the term counts.
 
 Votes are counted four bits to a number: a 64-bit hash shifted by ``i`` and masked
 leaves bits ``i``, ``i + 16``, ``i + 32`` and ``i + 48`` in lanes of 16 bits, so 16
-sums count 64 bits. A lane holds 65,535 votes; terms are counted in blocks of
-fewer and the blocks added up.
+sums count 64 bits. A lane holds 32,767 votes, the uppermost one by its sign; terms
+are counted in blocks of fewer and the blocks added up.
 
 Null and empty texts have one empty term. Tied votes give 0. A null id ranks
 below all others, where the least 64-bit number stands for it. Repeated rows get
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from podium.llm.common import kept
 
 SHINGLE = 5
-BLOCK = 60_000
+BLOCK = 30_000
 LANES = 0x0001_0001_0001_0001
 #: Seeds of the two halves of a fingerprint.
 HALVES = (0, 1)

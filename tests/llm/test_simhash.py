@@ -1,0 +1,165 @@
+import hashlib
+import random
+from collections import Counter
+
+import xxhash
+from pyspark.sql import functions as F
+
+from podium.llm.simhash import compare_edited, near_fingerprints, next_ids
+from tests.llm.helpers import DOCUMENTS, prose, rows
+
+
+def spark_hash(seed, values):
+    """Spark's xxhash64 of an int and strings; nulls do not count."""
+    h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little", signed=True), seed=42)
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode(), seed=h)
+    return h
+
+
+def fingerprint(text):
+    cleaned = text
+    for c in "\t\n\r\x0b\x0c":
+        cleaned = cleaned.replace(c, " ")
+    words = [w for w in cleaned.split(" ") if w] or [""]
+    terms = Counter(
+        tuple((words[i : i + 5] + [None] * 5)[:5]) for i in range(max(1, len(words) - 4))
+    )
+    out = ""
+    for seed in (0, 1):
+        votes = [0] * 64
+        for term, n in terms.items():
+            h = spark_hash(seed, term)
+            for bit in range(64):
+                votes[bit] += n if h >> bit & 1 else -n
+        out += f"{sum(1 << b for b in range(64) if votes[b] > 0):016x}"
+    return out
+
+
+def likeness(a, b):
+    return 1 - (int(a, 16) ^ int(b, 16)).bit_count() / 128
+
+
+def expected(made):
+    made = [(i, t or "") for i, t in made]
+    ids = sorted({i for i, _ in made}, key=lambda i: (i is not None, i or 0))
+    begin = {
+        i: min((t for j, t in made if j == i), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+        for i in ids
+    }
+    out = []
+    for i, text in made:
+        following = begin[ids[ids.index(i) - 1]]
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        own, other = fingerprint(text), fingerprint(edited)
+        out.append(
+            (
+                i,
+                len(text),
+                hashlib.sha256(edited.encode()).hexdigest(),
+                own,
+                other,
+                likeness(own, other),
+                likeness(own, fingerprint(following)),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+def table(spark, made):
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in made], DOCUMENTS)
+    return df.withColumns({"next_id": F.lit("x"), "text_high": F.lit(1)}).repartition(5)
+
+
+COLUMNS = (
+    "doc_id",
+    "n_chars",
+    "edited_sha256",
+    "fingerprint",
+    "edited_fingerprint",
+    "near_edited",
+    "near_next",
+)
+
+
+def test_equal_to_brute_force(spark):
+    rng = random.Random(2)
+    made = [(i * 7, prose(rng, rng.choice([1, 3, 4, 5, 6, 40, 200]))) for i in range(25)]
+    made += [(1000, None), (1001, ""), (1002, "éà 日本\t語\n\nüß x"), (1003, "one")]
+    made += [(1004, "same text of six words here")] * 2 + [(1005, "same text of six words here")]
+    made += [(None, "no id at all"), (-5, "negative"), (7, "another text of id seven")]
+    got = compare_edited(table(spark, made))
+    assert rows(got, *COLUMNS) == expected(made)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(5)
+    made = [(1, prose(rng, 130_000)), (2, "word " * 70_000), (3, "short one")]
+    assert rows(compare_edited(table(spark, made)), *COLUMNS) == expected(made)
+
+
+def test_one_row_is_its_own_neighbour(spark):
+    made = [(4, "a b c d e f g h")]
+    got = rows(compare_edited(table(spark, made)), *COLUMNS)
+    assert got == expected(made) and got[0][6] == 1.0
+    assert compare_edited(table(spark, made).limit(0)).count() == 0
+
+
+def test_ring_over_many_ranges(spark):
+    ids = [(i,) for i in random.Random(1).sample(range(-500, 500), 300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = next_ids(spark.createDataFrame(ids, "id long").withColumn("most", F.lit(0)))
+        found = {r.id: r.next_id for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted(i for i, in ids)
+    assert found == {i: order[k - 1] for k, i in enumerate(order)}
+
+
+def test_all_pairs_within_the_radius(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(128) for _ in range(12)]
+    made = set(base)
+    for b in base:
+        for _ in range(12):
+            for bit in rng.sample(range(128), rng.randint(1, 6)):
+                b ^= 1 << bit
+            made.add(b)
+    made = sorted(made)
+
+    def halves(x):
+        signed = [h - (1 << 64) if h >> 63 else h for h in (x >> 64, x & (1 << 64) - 1)]
+        return tuple(signed)
+
+    df = spark.createDataFrame([halves(x) for x in made + made[:5]], "high long, low long")
+    for radius in (1, 3, 7):
+        want = {
+            (frozenset((halves(a), halves(b))), (a ^ b).bit_count())
+            for k, a in enumerate(made)
+            for b in made[:k]
+            if (a ^ b).bit_count() <= radius
+        }
+        got = near_fingerprints(df, radius).collect()
+        pairs = {
+            (frozenset(((r.a_high, r.a_low), (r.b_high, r.b_low))), r.bits) for r in got
+        }
+        assert pairs == want and len(got) == len(want)
+
+
+def test_near_copies_are_counted(spark):
+    rng = random.Random(9)
+    text = prose(rng, 2_000)
+    near = text.replace(text[4_000:4_200], "something else altogether", 1)
+    bits = round(128 * (1 - likeness(fingerprint(text), fingerprint(near))))
+    assert 0 < bits <= 15
+    made = [(1, text), (2, text), (3, near), (4, prose(rng, 300))]
+    got = {r.doc_id: r.n_near for r in compare_edited(table(spark, made), 15).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 0}
+
+
+def test_only_native_operators(spark):
+    plan = compare_edited(table(spark, [(1, "a"), (2, "b")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
