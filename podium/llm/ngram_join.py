@@ -8,10 +8,11 @@ link is lost, and no step writes all pairs of a group:
    chosen by hash, is looked up in the whole table. A text that links with another
    misses at most ``n - ceil(t * n)`` of its shingles there, so a class that holds
    more which no other class has can have no partner. Most texts end here.
-2. Of the classes that remain, two that link share a shingle among their first
-   ``n - ceil(t * n) + 1`` by hash (prefix filter). A shingle's classes meet at the
+2. Of the classes that remain, two that link have a neighbouring pair of shingles
+   in common among the first ``2 * (1 - t) / t * n + 1`` pairs by hash (``keys_of``).
+   Texts that are not alike hardly share one. The classes with a pair meet at the
    least of them: a class goes with its whole set to few meeting points, because
-   copies share their shingles and therefore their least member.
+   copies share their pairs and therefore their least member.
 3. Where they meet, a signature tree holds them: a node has the size range of the
    sets below it and the union of their bitmaps. Two trees (or a tree and itself)
    are traversed together; a pair of nodes goes on only if sets below them could
@@ -23,9 +24,10 @@ link is lost, and no step writes all pairs of a group:
 5. The stars are joined to components by alternating star contraction.
 
 Null texts, empty texts and texts without words have no shingles and link with
-nothing. Texts of fewer than ``width`` words have one shingle: all their words. A
-null id ranks below all others, where the least 64-bit number stands for it. Rows
-of one id count as one document. Shingles are compared by 64-bit hashes.
+nothing. Texts of fewer than ``width`` words have one shingle: all their words.
+Rows of one id count as one document. Rows without id link like others but have no
+id to give: equal ones count as one, under a number from 2**62 on, which ids must
+not reach. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,17 +36,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from podium.llm.common import kept, mixed, words
 
-LOWEST = -(1 << 63)
+#: Rows without id have numbers from here on.
+NAMELESS = 1 << 62
 #: Sets below this size are looked up whole and not by a share.
 SMALL = 72
-#: The share of larger sets that is looked up: one in so many shingles.
-ONE_IN = 5
 LEAF = 16
 FANOUT = 8
 
@@ -78,11 +79,38 @@ def links(n: int, m: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (n + m - common)
 
 
+def share_bound(percent: int) -> int:
+    """Hashes below this are looked up: a share a tenth above what a set may miss."""
+    return int(2**64 * min(1.0, 1.1 - percent / 100))
+
+
 def looked_up(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """Those a set sends to the table of all shingles."""
-    if len(shingles) * percent < 100 * SMALL:
+    """Those a set sends to the table of all shingles.
+
+    Small sets send all, and so do those that could link with a small one.
+    """
+    bound = share_bound(percent)
+    if len(shingles) * percent < 100 * SMALL or bound >= 2**64:
         return shingles
-    return shingles[: np.searchsorted(shingles, np.uint64(2**64 // ONE_IN))]
+    return shingles[: np.searchsorted(shingles, np.uint64(bound))]
+
+
+def keys_of(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of which two different linked sets have one in common.
+
+    A set of ``n`` and a linked one differ by at most ``d = n * (1 - t) / t``
+    shingles on both sides together. In order of hash, a shingle that only one set
+    has takes at most two neighbouring pairs from the other's list, or comes between
+    one; it moves later pairs by one place. So of the first ``2 * d + 1`` pairs of
+    both, one is the same. Below 80 % that may be more pairs than there are, and
+    the first ``n - ceil(t * n) + 1`` shingles themselves are used (prefix filter).
+    """
+    n = len(shingles)
+    if percent < 80:
+        return shingles[: slack(n, percent) + 1]
+    first = 2 * (n * (100 - percent) // percent) + 1
+    head = shingles[: first + 1]
+    return mixed(head[:-1] * _MULTIPLIERS[0] + head[1:] * _MULTIPLIERS[1])
 
 
 # --- signature trees ------------------------------------------------------
@@ -211,49 +239,77 @@ def linked_components(
 # --- tables ---------------------------------------------------------------
 
 
-def _classed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``id``, ``n``, the class as two numbers, and the shingles that are looked up."""
+def _id() -> Column:
+    """The id of a document, or a number from its text."""
+    nameless = F.xxhash64("text").bitwiseAND(F.lit(NAMELESS - 1)) + F.lit(NAMELESS)
+    return F.coalesce(F.col("doc_id").cast("long"), nameless)
+
+
+def _class_of(shingles: np.ndarray) -> tuple[int | None, int | None]:
+    """The class of a set as two numbers; none if it is empty."""
+    if not len(shingles):
+        return None, None
+    high, low = np.frombuffer(xxh3_128_digest(shingles.tobytes()), np.int64)
+    return int(high), int(low)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """A column of lists of hashes, as signed numbers."""
+    flat = np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64)
+    offsets = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+
+
+def _classed(texts: DataFrame, width: int) -> DataFrame:
+    """``id``, the size ``n`` of the set, and its class ``high``, ``low``."""
 
     def classed(batches):
         for batch in batches:
-            sizes, high, low, tokens = [], [], [], []
-            for text in batch["text"].to_pylist():
-                shingles = shingle_set(text, width)
-                key = np.frombuffer(xxh3_128_digest(shingles.tobytes()), np.int64)
-                sizes.append(len(shingles))
-                high.append(int(key[0]) if len(shingles) else None)
-                low.append(int(key[1]) if len(shingles) else None)
-                tokens.append(looked_up(shingles, percent).view(np.int64))
-            offsets = np.cumsum([0, *map(len, tokens)])
+            sets = [shingle_set(t, width) for t in batch["text"].to_pylist()]
+            high, low = zip(*map(_class_of, sets)) if sets else ([], [])
+            columns = ([len(s) for s in sets], high, low)
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], *(pa.array(c, pa.int64()) for c in columns)],
+                names=["id", "n", "high", "low"],
+            )
+
+    return texts.mapInArrow(classed, "id long, n long, high long, low long")
+
+
+def _tokens(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``high`` and ``token``: the shingles that each class looks up."""
+
+    def listed(batches):
+        for batch in batches:
+            sets = [shingle_set(t, width) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["id"],
-                    pa.array(sizes, pa.int64()),
-                    pa.array(high, pa.int64()),
-                    pa.array(low, pa.int64()),
-                    pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()),
-                        pa.array(np.concatenate([np.empty(0, np.int64), *tokens])),
-                    ),
+                    pa.array([_class_of(s)[0] for s in sets], pa.int64()),
+                    _lists([looked_up(s, percent) for s in sets]),
                 ],
-                names=["id", "n", "high", "low", "tokens"],
+                names=["high", "tokens"],
             )
 
-    return docs.mapInArrow(classed, "id long, n long, high long, low long, tokens array<long>")
+    listed_sets = texts.select("text").mapInArrow(listed, "high long, tokens array<long>")
+    return listed_sets.select("high", F.explode("tokens").alias("token"))
 
 
-def _survivors(classed: DataFrame, percent: int) -> DataFrame:
-    """Classes that may have a partner: ``high``, ``low``, ``id`` (the least) and ``n``."""
-    tokens = classed.select("high", F.explode("tokens").alias("token"))
-    # Hashes are unsigned: the share that large sets look up is the lowest of them.
-    share = (F.col("token") >= 0) & (F.col("token") < 2**64 // ONE_IN)
+def _survivors(classed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Classes that may have a partner: ``id`` (their least), ``high`` and ``low``."""
+    bound = share_bound(percent)
+    # As signed numbers the upper half of the hashes is negative.
+    if bound >= 2**64:
+        in_share = F.lit(True)
+    elif bound >= 2**63:
+        in_share = (F.col("token") >= 0) | (F.col("token") < bound - 2**64)
+    else:
+        in_share = (F.col("token") >= 0) & (F.col("token") < bound)
     alone = (
         tokens.groupBy("token")
-        .agg(F.min("high").alias("high"), F.max("high").alias("other"))
-        .filter("high = other")
-        .groupBy("high")
-        .agg(F.count("*").alias("own"), F.count_if(share).alias("own_share"))
-        .withColumnRenamed("high", "h")
+        .agg(F.min("high").alias("h"), F.max("high").alias("other"))
+        .filter("h = other")
+        .groupBy("h")
+        .agg(F.count("*").alias("own"), F.count_if(in_share).alias("own_share"))
     )
     classes = (
         classed.filter("n > 0")
@@ -265,53 +321,48 @@ def _survivors(classed: DataFrame, percent: int) -> DataFrame:
     return (
         classes.join(alone, F.col("high") == F.col("h"), "left")
         .filter(F.coalesce(missed, F.lit(0)) <= most)
-        .select("high", "low", "id", "n")
+        .select("id", "high", "low")
     )
 
 
-def _sets(docs: DataFrame, survivors: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of each class that remains, its least id, its whole set and its prefix."""
+def _sets(texts: DataFrame, survivors: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of each class that remains, its least id, its whole set and its keys."""
 
     def built(batches):
         for batch in batches:
-            keys = zip(batch["id"].to_pylist(), batch["high"].to_pylist(), batch["low"].to_pylist())
-            ids, sets, prefixes = [], [], []
-            for (i, high, low), text in zip(keys, batch["text"].to_pylist()):
+            ids, sets = [], []
+            wanted = zip(*(batch[c].to_pylist() for c in ("id", "high", "low", "text")))
+            for i, high, low, text in wanted:
                 shingles = shingle_set(text, width)
-                key = np.frombuffer(xxh3_128_digest(shingles.tobytes()), np.int64)
-                if (int(key[0]), int(key[1])) != (high, low):
-                    continue  # another text of the same id
-                ids.append(i)
-                sets.append(shingles.tobytes())
-                first = slack(len(shingles), percent) + 1
-                prefixes.append(shingles[:first].view(np.int64))
+                if _class_of(shingles) == (high, low):  # else another text of the same id
+                    ids.append(i)
+                    sets.append(shingles)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
-                    pa.array(sets, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    _lists([keys_of(s, percent) for s in sets]),
                 ],
-                names=["id", "shingles", "prefix"],
+                names=["id", "shingles", "keys"],
             )
 
-    return (
-        docs.join(survivors.select("id", "high", "low"), "id")
-        .mapInArrow(built, "id long, shingles binary, prefix array<long>")
+    return texts.join(survivors, "id").mapInArrow(
+        built, "id long, shingles binary, keys array<long>"
     )
 
 
 def _meetings(sets: DataFrame, tile: int, tile_shingles: int) -> DataFrame:
     """Who meets where: ``place``, the pair of tiles ``one`` and ``two``, ``tile`` and ``id``."""
     posted = sets.select(
-        "id", F.explode("prefix").alias("token"), F.octet_length("shingles").alias("size")
+        "id", F.explode("keys").alias("key"), F.octet_length("shingles").alias("size")
     )
     hosts = (
-        posted.groupBy("token")
+        posted.groupBy("key")
         .agg(F.min("id").alias("place"), F.max("id").alias("last"))
         .filter("place < last")
-        .select("token", "place")
+        .select("key", "place")
     )
-    members = posted.join(hosts, "token").groupBy("place", "id").agg(F.first("size").alias("size"))
+    members = posted.join(hosts, "key").groupBy("place", "id").agg(F.first("size").alias("size"))
     by_count, by_size = F.ceil(F.count("*") / tile), F.ceil(F.sum("size") / (8 * tile_shingles))
     tiles = members.groupBy("place").agg(
         F.greatest(by_count, by_size).cast("int").alias("tiles")
@@ -410,23 +461,14 @@ def components(edges: DataFrame) -> DataFrame:
         now = kept(small, "edges")
 
 
-def jaccard_components(
-    docs: DataFrame,
-    *,
-    width: int = 5,
-    percent: int = 80,
-    tile: int = 1_000,
-    tile_shingles: int = 2_000_000,
+def _components_by_row(
+    docs: DataFrame, width: int, percent: int, tile: int, tile_shingles: int
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs``.
-
-    ``component_id`` is the least id that links lead to, its own included.
-    """
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST).cast("long")).alias("id"), "text"
-    )
-    classed = kept(_classed(texts, width, percent), "classes")
-    survivors = kept(_survivors(classed, percent), "survivors")
+    """``id``, ``n`` and the ``root`` of its component, of each row."""
+    texts = docs.select(_id().alias("id"), "text")
+    classed = kept(_classed(texts, width), "classes")
+    tokens = _tokens(texts, width, percent)
+    survivors = kept(_survivors(classed, tokens, percent), "survivors")
     sets = kept(_sets(texts, survivors, width, percent), "sets")
     met = _meetings(sets, tile, tile_shingles).join(sets.select("id", "shingles"), "id")
     roots = components(_stars(met, percent))
@@ -437,13 +479,56 @@ def jaccard_components(
         .join(roots, F.col("first") == F.col("node"), "left")
         .select("high", "low", F.coalesce("root", "first").alias("root"))
     )
-    whole = (
-        classed.select("id", "n", "high", "low")
-        .join(first, ["high", "low"], "left")
-        .select("id", "n", F.coalesce("root", "id").alias("root"))
+    return classed.join(first, ["high", "low"], "left").select(
+        "id", "n", F.coalesce("root", "id").alias("root")
     )
-    return whole.select(
-        F.when(F.col("id") != LOWEST, F.col("id")).alias("doc_id"),
+
+
+def jaccard_components(
+    docs: DataFrame,
+    *,
+    width: int = 5,
+    percent: int = 80,
+    tile: int = 1_000,
+    tile_shingles: int = 2_000_000,
+) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs``.
+
+    ``component_id`` is the least id that links lead to, its own included, and null
+    where no row of the component has an id. ``tile`` classes, or sets of
+    ``tile_shingles`` in all, meet in one task at most.
+    """
+    rows = _components_by_row(docs, width, percent, tile, tile_shingles)
+    return rows.select(
+        F.when(F.col("id") < NAMELESS, F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("root") != LOWEST, F.col("root")).alias("component_id"),
+        F.when(F.col("root") < NAMELESS, F.col("root")).alias("component_id"),
+    )
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    *,
+    width: int = 5,
+    percent: int = 80,
+    tile: int = 1_000,
+    tile_shingles: int = 2_000_000,
+) -> DataFrame:
+    """Of each component one row: the least id's, of its rows the one of least text.
+
+    Rows without shingles link with nothing and all stay. Columns are those of
+    ``docs``.
+    """
+    rows = _components_by_row(docs, width, percent, tile, tile_shingles)
+    gone = rows.filter("n > 0 and id <> root").select(F.col("id").alias("_podium_gone")).distinct()
+    blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    left = docs.withColumns(
+        {"_podium_id": _id(), "_podium_blank": blank}
+    ).join(gone, F.col("_podium_id") == F.col("_podium_gone"), "left_anti")
+    # Only repeated ids come to more than one row.
+    nth = F.row_number().over(Window.partitionBy("_podium_id", "_podium_blank").orderBy("text"))
+    return (
+        left.withColumn("_podium_nth", nth)
+        .filter(F.col("_podium_blank") | (F.col("_podium_nth") == 1))
+        .drop("_podium_nth", "_podium_blank", "_podium_id")
     )
