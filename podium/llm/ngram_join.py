@@ -325,16 +325,45 @@ def _survivors(classed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame
     )
 
 
-def _sets(texts: DataFrame, survivors: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of each class that remains, its least id, its whole set and its keys."""
+def _bit_table(ids: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits, of which those of the hashes of ``id`` are set."""
+    words = (
+        ids.select(_bit(bits).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
+        .toArrow()
+    )
+    table = np.zeros(bits // 64, np.uint64)
+    table[words["word"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
+    return table
+
+
+def _bit(bits: int) -> Column:
+    return F.xxhash64("id").bitwiseAND(F.lit(bits - 1))
+
+
+def _sets(
+    texts: DataFrame, survivors: DataFrame, width: int, percent: int, bits: int
+) -> DataFrame:
+    """Of each class that remains, its least id, its whole set and its keys.
+
+    A table of ``bits`` bits says whose texts are wanted, so no text is shuffled. The
+    few others that it lets through do no harm: their sets are their own.
+    """
+    shared = survivors.sparkSession.sparkContext.broadcast(_bit_table(survivors, bits))
 
     def built(batches):
+        wanted, seen = shared.value, set()
         for batch in batches:
+            bit = batch["bit"].to_numpy()
+            chosen = wanted[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
+            batch = batch.filter(pa.array(chosen.astype(bool)))
             ids, sets = [], []
-            wanted = zip(*(batch[c].to_pylist() for c in ("id", "high", "low", "text")))
-            for i, high, low, text in wanted:
+            for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
                 shingles = shingle_set(text, width)
-                if _class_of(shingles) == (high, low):  # else another text of the same id
+                key = (i, _class_of(shingles))
+                if len(shingles) and key not in seen:  # repeated rows
+                    seen.add(key)
                     ids.append(i)
                     sets.append(shingles)
             yield pa.RecordBatch.from_arrays(
@@ -346,7 +375,7 @@ def _sets(texts: DataFrame, survivors: DataFrame, width: int, percent: int) -> D
                 names=["id", "shingles", "keys"],
             )
 
-    return texts.join(survivors, "id").mapInArrow(
+    return texts.withColumn("bit", _bit(bits)).mapInArrow(
         built, "id long, shingles binary, keys array<long>"
     )
 
@@ -385,8 +414,10 @@ def _stars(met: DataFrame, percent: int) -> DataFrame:
 
     def solved(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
         ids, sets, tiles = [], [], []
+        met = set()
         for i, tile, raw in rows:
-            if not ids or ids[-1] != i:
+            if (i, raw) not in met:
+                met.add((i, raw))
                 ids.append(i)
                 tiles.append(tile)
                 sets.append(np.frombuffer(raw, np.uint64))
@@ -462,14 +493,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _components_by_row(
-    docs: DataFrame, width: int, percent: int, tile: int, tile_shingles: int
+    docs: DataFrame, width: int, percent: int, tile: int, tile_shingles: int, filter_bits: int
 ) -> DataFrame:
     """``id``, ``n`` and the ``root`` of its component, of each row."""
     texts = docs.select(_id().alias("id"), "text")
     classed = kept(_classed(texts, width), "classes")
     tokens = _tokens(texts, width, percent)
     survivors = kept(_survivors(classed, tokens, percent), "survivors")
-    sets = kept(_sets(texts, survivors, width, percent), "sets")
+    sets = kept(_sets(texts, survivors, width, percent, filter_bits), "sets")
     met = _meetings(sets, tile, tile_shingles).join(sets.select("id", "shingles"), "id")
     roots = components(_stars(met, percent))
     first = (
@@ -491,14 +522,16 @@ def jaccard_components(
     percent: int = 80,
     tile: int = 1_000,
     tile_shingles: int = 2_000_000,
+    filter_bits: int = 1 << 26,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs``.
 
     ``component_id`` is the least id that links lead to, its own included, and null
     where no row of the component has an id. ``tile`` classes, or sets of
-    ``tile_shingles`` in all, meet in one task at most.
+    ``tile_shingles`` in all, meet in one task at most; ``filter_bits`` (a power of two)
+    is the size of the table that tells which texts are read again.
     """
-    rows = _components_by_row(docs, width, percent, tile, tile_shingles)
+    rows = _components_by_row(docs, width, percent, tile, tile_shingles, filter_bits)
     return rows.select(
         F.when(F.col("id") < NAMELESS, F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
@@ -513,13 +546,14 @@ def drop_near_copies(
     percent: int = 80,
     tile: int = 1_000,
     tile_shingles: int = 2_000_000,
+    filter_bits: int = 1 << 26,
 ) -> DataFrame:
     """Of each component one row: the least id's, of its rows the one of least text.
 
     Rows without shingles link with nothing and all stay. Columns are those of
     ``docs``.
     """
-    rows = _components_by_row(docs, width, percent, tile, tile_shingles)
+    rows = _components_by_row(docs, width, percent, tile, tile_shingles, filter_bits)
     gone = rows.filter("n > 0 and id <> root").select(F.col("id").alias("_podium_gone")).distinct()
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     left = docs.withColumns(
