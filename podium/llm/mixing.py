@@ -179,43 +179,46 @@ def mixed_documents(
     target by less than one document. Columns are those of ``docs``.
     """
     plan = mix_plan(docs, weights, share, most, rows_in_range).select(
-        F.col("source").alias("_source"),
-        F.col("doc_id").alias("_doc_id"),
-        F.col("key").alias("_key"),
-        F.col("copies").alias("_copies"),
-        F.col("passes").alias("_passes"),
+        F.col("source").alias("_podium_source"),
+        F.col("doc_id").alias("_podium_doc_id"),
+        F.col("key").alias("_podium_key"),
+        F.col("copies").alias("_podium_copies"),
+        F.col("passes").alias("_podium_passes"),
         # Of these equal rows, so many are reached by the last pass.
         F.when(F.col("left") <= 0, 0)
         .when(F.col("size") == 0, F.col("copies"))
         .otherwise(F.least(F.ceil(F.col("left") / F.col("size")), F.col("copies")))
-        .alias("_reached"),
+        .alias("_podium_reached"),
     )
-    reached = plan.filter("_passes + _reached > 0")
-    joined = docs.withColumn("_k", random_key(F.col("doc_id"), F.col("text"))).join(
+    reached = plan.filter("_podium_passes + _podium_reached > 0")
+    joined = docs.withColumn("_podium_k", random_key(F.col("doc_id"), F.col("text"))).join(
         reached,
-        F.col("_k").eqNullSafe(F.col("_key"))
-        & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source")),
+        F.col("_podium_k").eqNullSafe(F.col("_podium_key"))
+        & F.col("doc_id").eqNullSafe(F.col("_podium_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_podium_source")),
     )
-    parted = (F.col("_reached") > 0) & (F.col("_reached") < F.col("_copies"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    times = F.col("_passes") + F.when(F.col("_reached") > 0, 1).otherwise(0)
-    whole = joined.filter(~parted).select(*columns, times.alias("_times"))
+    passes, some = F.col("_podium_passes"), F.col("_podium_reached")
+    parted = (some > 0) & (some < F.col("_podium_copies"))
+    whole = joined.filter(~parted).select(
+        *columns, (passes + F.when(some > 0, 1).otherwise(0)).alias("_podium_times")
+    )
     # At most one group of equal rows of each source is taken in part.
-    nth = F.row_number().over(Window.partitionBy("_source", "_key").orderBy("_doc_id"))
+    same = Window.partitionBy("_podium_source", "_podium_key").orderBy("_podium_doc_id")
     part = (
         joined.filter(parted)
-        .withColumn("_nth", nth)
+        .withColumn("_podium_nth", F.row_number().over(same))
         .select(
             *columns,
-            (F.col("_passes") + F.when(F.col("_nth") <= F.col("_reached"), 1).otherwise(0)).alias(
-                "_times"
+            (passes + F.when(F.col("_podium_nth") <= some, 1).otherwise(0)).alias(
+                "_podium_times"
             ),
         )
     )
+    times = F.sequence(F.lit(1), F.col("_podium_times").cast("int"))
     return (
         whole.unionByName(part)
-        .filter("_times > 0")
-        .withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-        .drop("_times")
+        .filter("_podium_times > 0")
+        .withColumn("_podium_times", F.explode(times))
+        .drop("_podium_times")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm.common import kept, remainder
+from podium.llm.context_tree import score_texts
 from podium.llm.language import fit_language_model, predict_language
 from podium.llm.mixing import KEY_BITS, mix_sources
 from podium.llm.nearest import nearest_neighbours
@@ -87,6 +88,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op7_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_texts(docs, remainder(F.col("doc_id"), 10) == 0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE, 1024)
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_context_tree_weighting": op7_context_tree_weighting,
     "op8_token_counts": op8_token_counts,
     "op9_source_mixing": op9_source_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,

@@ -1,0 +1,136 @@
+"""The pipeline on a small corpus, stage by stage against what each must do."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm.helpers import DOCUMENTS, prose
+from tests.llm.test_ngram_join import brute, edited
+from tests.llm.test_toxicity import BAD
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(12)
+    docs, labels = [], []
+
+    def add(text, toxic, source=None):
+        i = len(docs)
+        source = source or rng.choice(["hot", "hot", "hot", "a", "b", None])
+        docs.append((i, text, "en", source, len(text or "")))
+        if toxic is not None and i % 3:
+            labels.append((i, 1, int(toxic)))
+
+    for _ in range(260):
+        toxic = rng.random() < 0.2
+        found = prose(rng, rng.randint(20, 120)).split(" ")
+        if toxic:
+            for _ in range(4):
+                found.insert(rng.randrange(len(found)), rng.choice(BAD))
+        add(" ".join(found), toxic)
+    base = prose(rng, 150)
+    for _ in range(30):
+        add(edited(rng, base, 0.01), False)
+    for _ in range(20):
+        add(base, False)
+    for text in (None, "", " \n", "1234 !!", "?"):
+        add(text, None)
+    add(prose(rng, 2_500), False, "long")
+    path = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame(docs, DOCUMENTS).repartition(4).write.parquet(
+        f"{path}/documents.parquet"
+    )
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{path}/labels.parquet"
+    )
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, folder, tmp_path_factory):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, out[-1], folder).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return [o.toPandas() for o in out]
+
+
+def test_stages(spark, folder):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5 and len(set(names)) == 5
+
+
+def test_documents_keep_their_columns(outputs):
+    for out in outputs[1:5]:
+        assert list(out.columns) == list(outputs[0].columns)
+
+
+def test_toxic_texts_go_and_clean_ones_stay(outputs):
+    docs, left = outputs[0], outputs[1]
+
+    def toxic(t):
+        return any(w in (t or "") for w in BAD)
+
+    assert not any(map(toxic, left.text))
+    clean = [i for i, t in zip(docs.doc_id, docs.text) if not toxic(t)]
+    assert sorted(left.doc_id) == sorted(clean)
+
+
+def test_texts_without_language_go(outputs):
+    gone = set(outputs[1].doc_id) - set(outputs[2].doc_id)
+    texts = dict(zip(outputs[1].doc_id, outputs[1].text))
+    assert {texts[i] for i in gone} == {None, "", " \n", "1234 !!", "?"}
+
+
+def test_one_of_each_group_stays(outputs):
+    before = list(zip(outputs[2].doc_id, outputs[2].text))
+    want = {r for _, _, r in brute(before, 5, 80)}
+    assert sorted(outputs[3].doc_id) == sorted(want)
+    assert len(outputs[3]) < len(outputs[2]) - 30
+
+
+def test_sources_meet_their_targets(outputs):
+    from tests.llm.test_mixing import targets
+
+    def key(s):
+        return None if s is None or s != s else s
+
+    sizes = Counter()
+    longest = Counter()
+    for s, t in zip(outputs[3].source, outputs[3].text):
+        sizes[key(s)] += len(t.split())
+        longest[key(s)] = max(longest[key(s)], len(t.split()))
+    want = targets(dict(sizes), (3.0, 1.0, 2.0), 1.5, 2.0)
+    taken = Counter()
+    for s, t in zip(outputs[4].source, outputs[4].text):
+        taken[key(s)] += len(t.split())
+    for s in sizes:
+        assert want[s] - 1 <= taken[s] < want[s] + longest[s] + 1
+    assert set(outputs[4].doc_id) <= set(outputs[3].doc_id)
+
+
+def test_sequences_hold_all_that_was_mixed(outputs):
+    docs, out = outputs[4], outputs[5]
+    library = Tokenizer.from_file(corpus_pipeline.TOKENIZER)
+    sizes = Counter()
+    for i, t in zip(docs.doc_id, docs.text):
+        sizes[i] += len(library.encode(t, add_special_tokens=False).ids) + 1
+    assert out.groupby("doc_id").length.sum().to_dict() == dict(sizes)
+    for _, group in out.groupby("sequence_id"):
+        group = group.sort_values("offset")
+        assert list(group.offset) == [0, *np.cumsum(group.length)[:-1]]
+        assert group.length.sum() <= 1024
+
+
+def test_run_gives_the_last_stage(spark, folder, outputs):
+    got = corpus_pipeline.run(spark, folder).toPandas()
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(got[columns].itertuples(index=False)) == sorted(
+        outputs[5][columns].itertuples(index=False)
+    )
