@@ -6,7 +6,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType, StructField
 
 from podium.functions.text import normalized
 
@@ -16,15 +16,31 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def field(df: DataFrame, name: str) -> StructField:
+    """The column that Spark means by ``name``: without case, unless the session minds it.
+
+    A name of the same case goes first; several others are ambiguous.
+    """
+    fields = df.schema.fields
+    found = [f for f in fields if f.name == name]
+    if not found and df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
+        found = [f for f in fields if f.name.lower() == name.lower()]
+    if len(found) != 1:
+        problem = "no column" if not found else "more than one column"
+        raise ValueError(f"{problem} {name!r} among {df.columns}")
+    return found[0]
+
+
 def as_measure(df: DataFrame, name: str) -> Column:
     """The column as double; text that is no number gives null.
 
     CSV inference leaves a measure as text when a single cell is not a number,
     and under ANSI rules a plain cast of that cell would fail the job.
     """
-    if isinstance(df.schema[name].dataType, DoubleType):
-        return quoted(name)
-    return quoted(name).try_cast("double")
+    found = field(df, name)
+    if isinstance(found.dataType, DoubleType):
+        return quoted(found.name)
+    return quoted(found.name).try_cast("double")
 
 
 def normalize_text(df: DataFrame) -> DataFrame:

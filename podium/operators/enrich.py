@@ -6,19 +6,21 @@ brought down before they meet:
 
 * a biography row turns into sums and counts per athlete, sex and country, so
   repeated biographies of one athlete are never paired with each result row;
-* when the biographies are too large to broadcast, equal results of an athlete
-  with very many results turn into one row with a count, so an athlete with a
-  third of all results sends a few rows per task into the shuffle and not a
-  third of the table. The other results are shuffled once, as they are.
+* when the biographies are too large to broadcast, the sums of athletes with very
+  many results still are not: their results stay where they are, so an athlete
+  with a third of all results sends nothing into the shuffle. The other results
+  are shuffled once, as they are.
 
 ``avg`` is put together again as sum over count after the join.
 """
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from podium.operators.clean import as_measure, quoted
+from podium.operators.clean import as_measure, field, quoted
 from podium.operators.clean import drop_missing as only_measured
 from podium.shared import working_dir
 
@@ -30,12 +32,18 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # What a hashed row costs beside its values.
 ROW_OVERHEAD_BYTES = 64
 
-# An athlete is hot above this share of the results: no more than a thousand
-# can be. The sketches that find them miss none above twice that share.
+# An athlete is hot above this share of the results, or above what one shuffle
+# partition gets on average if that is less, down to the least share; so at most
+# ten thousand are. The sketches that find them miss none above twice that share.
 HOT_SHARE = 0.001
-HOT_TRACKED = 10_000
+LEAST_HOT_SHARE = 0.0001
 HOT_SKETCHES = 1024
 
+# Digits of a measure that is summed exactly, and of the number of its results:
+# their product fits in Spark's 38.
+EXACT_DIGITS = 19
+COUNT_DIGITS = 18
+
 # Counts a task of a stream holds before it passes them on.
 HELD_ROWS = 200_000
 
@@ -48,6 +56,7 @@ def avg_stats(
     join: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
     scale: int | None = None,
+    static_dir: str | None = None,
 ) -> DataFrame:
     """Join results to biographies and average the measures by group.
 
@@ -61,52 +70,76 @@ def avg_stats(
 
     ``join``: ``"broadcast"`` sends the biographies to every task, and fails
     when they measure more than ``broadcast_bytes``;
-    ``"shuffle"`` looks for hot athletes (one aggregate over their ids), counts
-    their equal results and shuffles both sides; ``"auto"`` measures the
-    biographies (one aggregate over the columns used) and broadcasts up to
-    ``broadcast_bytes``. On a stream ``"auto"`` broadcasts only files, whose
-    list is fixed when they are loaded; a database table is read anew in each
-    epoch and may outgrow the measurement. Sums of biographies in files are
-    written once, to the shared folder, when a stream starts.
-
-    ``scale``: sum the measures as decimals with so many digits, which makes
-    the averages the same to the bit whatever the order of rows. NaN then
-    counts as missing.
+    ``"shuffle"`` looks for hot athletes (one aggregate over their ids),
+    broadcasts their sums if those are small enough and shuffles the rest of
+    both sides; ``"auto"`` measures the biographies (one aggregate over the
+    columns used) and broadcasts up to ``broadcast_bytes``. On a stream
+    ``"auto"`` broadcasts only files, whose list is fixed when they are loaded; a
+    database table is read anew in each epoch and may outgrow the measurement, so
+    it is not measured. Sums of biographies in files are written once when a
+    stream starts, to ``static_dir`` or else to the shared folder, in buckets by
+    athlete: no epoch adds them up or shuffles them again.
+
+    ``scale``: round the measures to so many digits after the point (0 to 18) and
+    sum them as decimals, which makes the averages the same to the bit whatever
+    the order of rows. NaN then counts as missing. A measure of more than 19
+    digits, those after the point among them, is an error, and so are sums of
+    more than 38.
     """
     if country_from not in ("event", "bio"):
         raise ValueError("country_from is 'event' or 'bio'")
     if join not in ("auto", "broadcast", "shuffle"):
         raise ValueError("join is 'auto', 'broadcast' or 'shuffle'")
+    if scale is not None and not 0 <= scale < EXACT_DIGITS:
+        raise ValueError(f"scale is 0 to {EXACT_DIGITS - 1}")
 
     result_columns = [KEY, "sport", "medal"]
     bio_columns = [KEY, "sex"]
     (result_columns if country_from == "event" else bio_columns).append("country_noc")
 
-    results, bio = _same_keys(results.select(result_columns), bio)
+    results, bio = _same_keys(_named(results, result_columns), _named(bio, bio_columns, MEASURES))
     results = results.filter(F.col(KEY).isNotNull())
     bio = bio.filter(F.col(KEY).isNotNull())
     if drop_missing:
         bio = only_measured(bio, MEASURES)
-    fixed = not results.isStreaming or bool(bio.inputFiles())
-    if join != "shuffle":
-        join = _measured_join(join, fixed, bio, bio_columns, broadcast_bytes)
-
+    fixed = not results.isStreaming or only_files(bio)
     totals = _totals(bio, bio_columns, scale)
     if results.isStreaming and fixed:
-        totals = _written(totals)
+        totals = _bucketed(totals, static_dir or working_dir(totals.sparkSession, "totals"))
+    if join == "broadcast" or (join == "auto" and fixed):
+        join = _measured_join(join, totals, broadcast_bytes)
+
     if join == "broadcast":
         joined = _each_once(results).join(F.broadcast(totals), KEY)
     elif results.isStreaming:
         joined = _count_in_tasks(results).join(totals, KEY)
     else:
-        joined = _join_hot_apart(results, totals)
+        joined = _join_hot_apart(results, totals, broadcast_bytes)
 
     return joined.groupBy(*GROUP).agg(
-        *[_average(name).alias(f"avg_{name}") for name in MEASURES],
+        *[_average(name, scale).alias(f"avg_{name}") for name in MEASURES],
         F.current_timestamp().alias("timestamp"),
     )
 
 
+def _named(df: DataFrame, *names: list[str]) -> DataFrame:
+    """These columns, called so whatever their case."""
+    columns = [name for part in names for name in part]
+    return df.select(*(quoted(field(df, name).name).alias(name) for name in columns))
+
+
+def only_files(df: DataFrame) -> bool:
+    """Whether every table that ``df`` reads is a list of files, fixed when it was loaded."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            return False
+        if leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            return False
+    return True
+
+
 def _same_keys(results: DataFrame, bio: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ids left as text by inference, as the type they have on the other side.
 
@@ -126,40 +159,64 @@ def _totals(bio: DataFrame, columns: list[str], scale: int | None) -> DataFrame:
     for name in MEASURES:
         value = as_measure(bio, name)
         if scale is not None:
-            value = value.try_cast(f"decimal(18,{scale})")
+            value = F.when(~F.isnan(value), value)
+            value = _fitting(value, f"decimal({EXACT_DIGITS},{scale})", name)
         sums += [F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"count_{name}")]
     return bio.groupBy(*columns).agg(*sums)
 
 
-def _average(name: str) -> Column:
-    total = F.sum(F.col("n") * F.col(f"sum_{name}")).cast("double")
-    return F.try_divide(total, F.sum(F.col("n") * F.col(f"count_{name}")))
+def _fitting(value: Column, kind: str, name: str) -> Column:
+    """``value`` as decimal; an error, and never null, where it has more digits."""
+    too_long = F.raise_error(F.lit(f"{name} has more digits than {kind} holds"))
+    return F.when(value.isNotNull(), F.coalesce(value.try_cast(kind), too_long))
+
+
+def _average(name: str, scale: int | None) -> Column:
+    n, total, count = F.col("n"), F.col(f"sum_{name}"), F.sum(F.col("n") * F.col(f"count_{name}"))
+    if scale is None:
+        return F.try_divide(F.sum(n * total), count)
+    each = _fitting(total, f"decimal({EXACT_DIGITS},{scale})", f"sum of {name}")
+    summed = F.try_sum(_fitting(n, f"decimal({COUNT_DIGITS},0)", "count") * each)
+    too_long = F.raise_error(F.lit(f"sum of {name} has more than 38 digits"))
+    whole = F.when(count > 0, F.coalesce(summed.cast("double"), too_long))
+    return F.try_divide(whole, count)
 
 
 def _each_once(results: DataFrame) -> DataFrame:
     return results.withColumn("n", F.lit(1).cast("long"))
 
 
-def _join_hot_apart(results: DataFrame, totals: DataFrame) -> DataFrame:
-    """Join by shuffling; rows of hot athletes are counted beforehand.
+def _join_hot_apart(results: DataFrame, totals: DataFrame, limit: int) -> DataFrame:
+    """Join by shuffling; rows of hot athletes stay in place and meet their sums there.
 
-    Tasks count their own rows of a hot athlete before the shuffle, which costs
-    a second, small shuffle for these rows only.
+    The sums are written first, since both joins read them and the broadcast has to
+    be measured. Hot sums beyond ``limit`` bytes go the way of all others.
     """
-    hot = hot_keys(results)
+    spark = results.sparkSession
+    share = hot_share(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = hot_keys(results, share)
     if not hot:
         return _each_once(results).join(totals, KEY)
+    path = working_dir(spark, "totals")
+    totals.write.parquet(path)
+    totals = spark.read.schema(totals.schema).parquet(path)
     is_hot = F.col(KEY).isin(hot)
-    counted = (
-        results.filter(is_hot).groupBy(*results.columns).agg(F.count("*").alias("n"))
-    )
+    hot_totals = totals.filter(is_hot)
+    if measured_bytes(hot_totals, hot_totals.columns) > limit:
+        return _each_once(results).join(totals, KEY)
+    each = _each_once(results)
     return (
-        _each_once(results.filter(~is_hot))
+        each.filter(~is_hot)
         .join(totals.filter(~is_hot), KEY)
-        .unionByName(counted.join(totals.filter(is_hot), KEY))
+        .unionByName(each.filter(is_hot).join(F.broadcast(hot_totals), KEY))
     )
 
 
+def hot_share(partitions: int) -> float:
+    """Above which share of the rows an athlete is too much for a shuffle partition."""
+    return max(LEAST_HOT_SHARE, min(HOT_SHARE, 1 / partitions))
+
+
 def hot_keys(results: DataFrame, share: float = HOT_SHARE) -> list:
     """Athletes with more than ``share`` of the rows, at most ``1 / share``.
 
@@ -167,12 +224,12 @@ def hot_keys(results: DataFrame, share: float = HOT_SHARE) -> list:
     number of sketches, so that those of very many tasks do not meet in one.
     The null item stands for all rows.
     """
-    most = int(1 / share)
+    most = round(1 / share)
     sketched = (
         results.filter(F.col(KEY).isNotNull())
         .groupBy((F.spark_partition_id() % HOT_SKETCHES).alias("sketch"))
         .agg(
-            F.expr(f"approx_top_k({KEY}, {most}, {HOT_TRACKED})").alias("items"),
+            F.expr(f"approx_top_k({KEY}, {most}, {10 * most})").alias("items"),
             F.count("*").alias("rows"),
         )
     )
@@ -222,22 +279,32 @@ def _count_in_tasks(results: DataFrame) -> DataFrame:
     return results.mapInArrow(count_each, schema)
 
 
-def _written(totals: DataFrame) -> DataFrame:
-    """The totals as a table, so that no epoch of a stream adds them up again."""
-    path = working_dir(totals.sparkSession, "totals")
-    totals.write.parquet(path)
-    return totals.sparkSession.read.parquet(path)
+def _bucketed(totals: DataFrame, path: str) -> DataFrame:
+    """The totals as a table in buckets sorted by athlete, in place of any at ``path``.
+
+    As many buckets as the stream has shuffle partitions, so a join by athlete finds
+    this side dealt and sorted.
+    """
+    spark = totals.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"podium_totals_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+    spark.sql(f"drop table if exists {name}")
+    (
+        totals.repartition(buckets, KEY)
+        .write.mode("overwrite")
+        .bucketBy(buckets, KEY)
+        .sortBy(KEY)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
-def _measured_join(
-    join: str, fixed: bool, bio: DataFrame, columns: list[str], limit: int
-) -> str:
-    size = measured_bytes(bio, columns, extra=16 * len(MEASURES))
+def _measured_join(join: str, totals: DataFrame, limit: int) -> str:
+    size = measured_bytes(totals, totals.columns)
     if join == "broadcast" and size > limit:
         raise ValueError(f"biographies of {size} bytes are too large to broadcast")
-    if join == "broadcast" or (fixed and size <= limit):
-        return "broadcast"
-    return "shuffle"
+    return "broadcast" if size <= limit else "shuffle"
 
 
 def measured_bytes(df: DataFrame, columns: list[str], extra: int = 0) -> int:

@@ -134,6 +134,42 @@ def test_cents_are_summed_exactly(spark, join):
     assert got[("golf", "Gold", "M", "A")][0] == (cents / 100) / 999
 
 
+@pytest.mark.parametrize("join", JOINS)
+def test_scale_loses_no_measure(spark, join):
+    results = [(1, "golf", "Gold", "A"), (2, "golf", "Gold", "A"), (3, "golf", "Gold", "A")]
+    fine = [(1, "M", "X", 1.00000001, 1.0), (2, "M", "X", 1.00000001, math.nan)]
+    got = stats(spark, results, fine, join=join, scale=8)
+    assert got[("golf", "Gold", "M", "A")] == (1.00000001, 1.0)
+    large = [(1, "M", "X", 1e16, 1.0), (2, "M", "X", 10.0, 1.0)]
+    got = stats(spark, results, large, join=join, scale=2)
+    assert got[("golf", "Gold", "M", "A")][0] == (1e16 + 10) / 2
+    for value in (1e17, 1e300, math.inf):
+        bio = [(1, "M", "X", value, 1.0), (2, "M", "X", 10.0, 1.0)]
+        with pytest.raises(Exception, match="more digits"):
+            stats(spark, results, bio, join=join, scale=2)
+
+
+@pytest.mark.parametrize("scale", [-1, 19])
+def test_scales_that_would_round_sums_are_refused(spark, scale):
+    with pytest.raises(ValueError, match="scale"):
+        stats(spark, [], [], scale=scale)
+
+
+@pytest.mark.parametrize("join", JOINS)
+def test_names_of_any_case(spark, join):
+    results = spark.createDataFrame([(1, "g", "Gold", "A")], RES).withColumnsRenamed(
+        {"athlete_id": "Athlete_ID", "medal": "MEDAL"}
+    )
+    bio = spark.createDataFrame([(1, "M", "X", 180.0, 70.0)], BIO).withColumnsRenamed(
+        {"height": "Height", "athlete_id": "ATHLETE_id"}
+    )
+    got = avg_stats(results, bio, drop_missing=True, join=join)
+    assert got.columns[:4] == ["sport", "medal", "sex", "country_noc"]
+    assert tuple(got.drop("timestamp").first()) == ("g", "Gold", "M", "A", 180.0, 70.0)
+    with pytest.raises(ValueError, match="no column 'height'"):
+        avg_stats(results, bio.drop("Height"), join=join)
+
+
 @pytest.mark.parametrize("join", JOINS)
 @pytest.mark.parametrize("drop_missing", [True, False])
 @pytest.mark.parametrize("country_from", ["event", "bio"])
@@ -175,7 +211,7 @@ def test_join_follows_the_measured_size(spark):
     assert "strategy=broadcast" not in plan(broadcast_bytes=10)
 
 
-def test_only_hot_athletes_are_counted_before_the_join(spark):
+def test_results_of_hot_athletes_are_not_shuffled(spark):
     def results(share):
         hot = f"if(id % {share} = 0, -1, id)" if share else "id"
         return spark.range(0, 30_000, 1, 4).selectExpr(
@@ -188,15 +224,34 @@ def test_only_hot_athletes_are_counted_before_the_join(spark):
         "id as athlete_id", "'M' as sex", "'X' as country_noc",
         "if(id < 0, 200D, 100D) as height", "1D as weight",
     )
-    skewed = avg_stats(results(3), bio, join="shuffle")
-    plan = skewed._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("count(1) AS n") == 1 and "Union" in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        skewed = avg_stats(results(3), bio, join="shuffle")
+        plan = skewed._jdf.queryExecution().executedPlan().toString()
+        small = avg_stats(results(3), bio, join="shuffle", broadcast_bytes=10)
+        wide = small._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin") == plan.count("SortMergeJoin") == 1
+    assert plan.count("Exchange hashpartitioning") <= 5
+    assert "BroadcastHashJoin" not in wide and small.first().avg_height == skewed.first().avg_height
     assert skewed.first().avg_height == (10_000 * 200 + 20_000 * 100) / 30_000
     even = avg_stats(results(None), bio, join="shuffle")
     assert "Union" not in even._jdf.queryExecution().optimizedPlan().toString()
     assert even.first().avg_height == 100.0
 
 
+def test_the_share_follows_the_shuffle_partitions(spark):
+    assert enrich.hot_share(8) == enrich.hot_share(1000) == enrich.HOT_SHARE
+    assert enrich.hot_share(4000) == 1 / 4000
+    assert enrich.hot_share(10**6) == enrich.LEAST_HOT_SHARE
+    # Just below a thousandth, which is hot for thousands of partitions.
+    ids = spark.range(0, 100_000, 1, 4).selectExpr("if(id % 1100 = 0, -1, id) as athlete_id")
+    assert hot_keys(ids) == []
+    assert hot_keys(ids, enrich.hot_share(4000)) == [-1]
+
+
 def test_hot_keys_of_text_and_of_nothing(spark):
     ids = spark.createDataFrame([("a",)] * 3 + [("b",)], "athlete_id string")
     assert sorted(hot_keys(ids)) == ["a", "b"]
