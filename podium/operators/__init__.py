@@ -3,6 +3,7 @@ from podium.operators.enrich import avg_stats
 from podium.operators.ledger import (
     append_count,
     count_pairs,
+    count_pairs_jdbc,
     count_where,
     is_fresh,
     recent_entry,
@@ -12,6 +13,7 @@ __all__ = [
     "append_count",
     "avg_stats",
     "count_pairs",
+    "count_pairs_jdbc",
     "count_where",
     "drop_duplicate_rows",
     "drop_missing",

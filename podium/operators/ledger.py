@@ -1,13 +1,15 @@
 """Filtered counts, kept in a ledger, and a check that the last is recent."""
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.operators.clean import quoted
+from podium.operators.clean import field, quoted
 from podium.schemas import LEDGER_COLUMN_TYPES
 from podium.sinks import write_jdbc
+from podium.sources import read_jdbc
 
 # Fixed value: how old, in seconds, the last entry may be.
 FRESH_SECONDS = 30
@@ -19,7 +21,8 @@ ROTATED_PAIRS = [("Bronze", "Gold"), ("Silver", "Bronze"), ("Gold", "Silver")]
 
 def count_where(df: DataFrame, column: str, value: object) -> DataFrame:
     """One row, ``count``: rows whose ``column`` equals ``value``, case and all."""
-    return df.filter(quoted(column) == F.lit(value)).agg(F.count("*").alias("count"))
+    found = quoted(field(df, column).name)
+    return df.filter(found == F.lit(value)).agg(F.count("*").alias("count"))
 
 
 def count_pairs(
@@ -29,12 +32,17 @@ def count_pairs(
 
     A value that never occurs has count 0.
     """
-    counts = df.filter(quoted(column).isin([value for _, value in pairs])).agg(
+    found = quoted(field(df, column).name)
+    counts = df.filter(found.isin([value for _, value in pairs])).agg(
         *[
-            F.count_if(quoted(column) == F.lit(value)).alias(f"count_{i}")
+            F.count_if(found == F.lit(value)).alias(f"count_{i}")
             for i, (_, value) in enumerate(pairs)
         ]
     )
+    return _entries(counts, pairs)
+
+
+def _entries(counts: DataFrame, pairs: Sequence[tuple[str, object]]) -> DataFrame:
     entries = [
         F.struct(F.lit(label).alias("medal_type"), F.col(f"count_{i}").alias("count"))
         for i, (label, _) in enumerate(pairs)
@@ -42,25 +50,48 @@ def count_pairs(
     return counts.select(F.inline(F.array(*entries)))
 
 
+def count_pairs_jdbc(
+    spark: SparkSession, column: str, pairs: Sequence[tuple[str, object]], **access: str
+) -> DataFrame:
+    """``count_pairs`` with the counting done by the database.
+
+    ``access`` has the arguments of ``read_jdbc``. One grouped row set comes back,
+    with a row for each value there is. What has no such value counts 0.
+    """
+    grouped = f"(select {column} as v, count(*) as n from {access['table']} group by {column}) counts"
+    rows = read_jdbc(spark, **{**access, "table": grouped}, partition_column=None)
+    counts = rows.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("v") == F.lit(value), F.col("n"))), F.lit(0))
+            .cast("long")
+            .alias(f"count_{i}")
+            for i, (_, value) in enumerate(pairs)
+        ]
+    )
+    return _entries(counts, pairs)
+
+
 def append_count(
     counts: DataFrame,
     path: str | None = None,
     jdbc: dict[str, str] | None = None,
-) -> None:
+) -> datetime:
     """Append ``medal_type, count`` rows with the time of insertion.
 
-    To Parquet at ``path`` or to a database with the arguments of
-    ``write_jdbc`` in ``jdbc``; either is made if it is missing.
+    The counts (a row for each label) are finished first and the time is taken
+    after that, by the query that inserts them. To Parquet at ``path`` or to a
+    database with the arguments of ``write_jdbc`` in ``jdbc``; either is made if
+    it is missing. Returns when the counts were finished.
     """
-    entries = counts.select(
-        F.col("medal_type"),
-        F.col("count").cast("long").alias("count"),
-        F.current_timestamp().alias("created_at"),
-    )
+    rows = counts.select("medal_type", F.col("count").cast("long").alias("count"))
+    finished = counts.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    counted = datetime.now(UTC)
+    entries = finished.withColumn("created_at", F.current_timestamp())
     if jdbc is not None:
         write_jdbc(entries, column_types=LEDGER_COLUMN_TYPES, **jdbc)
     else:
         entries.write.mode("append").parquet(path)
+    return counted
 
 
 def recent_entry(

@@ -1,5 +1,5 @@
 from podium.plans.enrichment import consume_topic, enrich_stream, publish_table
-from podium.plans.ledger import record_medal_count
+from podium.plans.ledger import record_medal_count, record_medal_count_jdbc
 from podium.plans.medallion import (
     bronze_to_silver,
     landing_to_bronze,
@@ -14,6 +14,7 @@ __all__ = [
     "landing_to_bronze",
     "publish_table",
     "record_medal_count",
+    "record_medal_count_jdbc",
     "run_medallion",
     "silver_to_gold",
 ]

@@ -2,9 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from podium.operators.ledger import append_count, count_pairs, is_fresh
+from podium.operators.ledger import append_count, count_pairs, count_pairs_jdbc, is_fresh
 from podium.sources import read_jdbc
 
 
@@ -18,8 +18,25 @@ def record_medal_count(
 
     The ledger is Parquet at ``path`` or a database table.
     """
-    append_count(count_pairs(results, "medal", pairs), path, jdbc)
-    spark = results.sparkSession
+    return _recorded(count_pairs(results, "medal", pairs), path, jdbc)
+
+
+def record_medal_count_jdbc(
+    spark: SparkSession,
+    pairs: Sequence[tuple[str, str]],
+    results: dict[str, str],
+    ledger: dict[str, str],
+) -> bool:
+    """The same with results and ledger in a database, which does the counting.
+
+    Both have the arguments of ``read_jdbc``.
+    """
+    return _recorded(count_pairs_jdbc(spark, "medal", pairs, **results), None, ledger)
+
+
+def _recorded(counts: DataFrame, path: str | None, jdbc: dict[str, str] | None) -> bool:
+    spark = counts.sparkSession
+    append_count(counts, path, jdbc)
     if jdbc is not None:
         return is_fresh(read_jdbc(spark, **jdbc, partition_column=None))
     return is_fresh(spark.read.parquet(path))

@@ -1,6 +1,7 @@
 """Counts, the ledger and its freshness."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,32 @@ def test_entries_are_appended_with_their_time(spark, results, tmp_path):
     assert ledger.filter("created_at is null").count() == 0
 
 
+def test_time_is_taken_after_the_count(spark, results, tmp_path):
+    path = str(tmp_path / "ledger")
+
+    def slowly(batches):
+        for batch in batches:
+            time.sleep(4)
+            yield batch
+
+    slow = results.coalesce(1).mapInArrow(slowly, results.schema)
+    began = dt.datetime.now(dt.UTC)
+    counted = append_count(count_pairs(slow, "medal", ROTATED_PAIRS), path)
+    assert (counted - began).total_seconds() >= 4
+    assert is_fresh(spark.read.parquet(path), 3)
+    times = spark.read.parquet(path).select(
+        (F.col("created_at") >= F.lit(counted)).alias("after")
+    )
+    assert {r.after for r in times.collect()} == {True}
+    assert is_fresh(spark.read.parquet(path)) is True
+
+
+def test_names_of_any_case(results):
+    upper = results.withColumnRenamed("medal", "MEDAL")
+    assert count_where(upper, "medal", "Gold").first()[0] == 5
+    assert count_pairs(upper, "Medal", [("x", "Gold")]).first()["count"] == 5
+
+
 def test_append_makes_the_ledger(spark, tmp_path):
     path = str(tmp_path / "ledger")
     append_count(spark.createDataFrame([("x", 3_000_000_000)], "medal_type string, count long"), path)
