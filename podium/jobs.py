@@ -20,11 +20,12 @@ from podium.plans import (
     landing_to_bronze,
     publish_table,
     record_medal_count,
+    record_medal_count_jdbc,
     run_medallion,
     silver_to_gold,
 )
 from podium.sources import read_jdbc, read_topic
-from podium.sources.jdbc import NUM_PARTITIONS, PARTITION_COLUMN
+from podium.sources.jdbc import PARTITION_COLUMN, RESULT_COLUMN
 from podium.sources.topic import MAX_OFFSETS_PER_TRIGGER
 from podium.streaming import to_jdbc, to_table, to_topic
 
@@ -42,18 +43,28 @@ def database(args: argparse.Namespace, table: str) -> dict[str, str]:
     }
 
 
-def table(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
-    """A table of the database, or Parquet files where no database is given."""
+def table(
+    spark: SparkSession, args: argparse.Namespace, name: str, column: str | None
+) -> DataFrame:
+    """A table of the database, or Parquet files where no database is given.
+
+    It is read in ranges of the column that was asked for, or else of ``column``.
+    """
     if args.url is None:
         return spark.read.parquet(name)
     return read_jdbc(
         spark,
         **database(args, name),
-        partition_column=args.partition_column,
+        partition_column=args.partition_column or column,
         num_partitions=args.num_partitions,
     )
 
 
+def options(args: argparse.Namespace) -> dict[str, str]:
+    """Connector options, given as ``--option key=value``."""
+    return dict(pair.split("=", 1) for pair in args.option)
+
+
 def servers(args: argparse.Namespace) -> list[str]:
     return args.servers.split(",") if args.servers else []
 
@@ -82,25 +93,37 @@ def run_layers(spark, args):
 
 def run_publish(spark, args):
     publish_table(
-        table(spark, args, args.table),
+        table(spark, args, args.table, RESULT_COLUMN),
         args.topic,
         servers(args),
         args.format,
         preview_rows=args.preview,
+        **options(args),
     )
 
 
 def run_enrich(spark, args):
     sinks = []
     if args.out_topic:
-        sinks.append(to_topic(args.out_topic, servers(args), args.format))
+        epochs = {"epoch_column": args.epoch_column}
+        sinks.append(
+            to_topic(args.out_topic, servers(args), args.format, **epochs, **options(args))
+        )
     if args.out_table and args.url:
-        sinks.append(to_jdbc(**database(args, args.out_table)))
+        access = database(args, args.out_table)
+        sinks.append(to_jdbc(**access, epoch_column=args.epoch_column))
     elif args.out_table:
         sinks.append(to_table(args.out_table, args.snapshot))
     enrich_stream(
-        read_topic(spark, args.topic, servers(args), args.format, args.max_per_trigger),
-        table(spark, args, args.bio),
+        read_topic(
+            spark,
+            args.topic,
+            servers(args),
+            args.format,
+            args.max_per_trigger,
+            **options(args),
+        ),
+        table(spark, args, args.bio, PARTITION_COLUMN),
         sinks,
         args.checkpoint,
         unwrap=args.unwrap,
@@ -120,6 +143,7 @@ def run_consume(spark, args):
             args.format,
             args.max_per_trigger,
             fail_on_data_loss=False,
+            **options(args),
         ),
         unwrap=args.unwrap,
         path=args.path,
@@ -129,17 +153,19 @@ def run_consume(spark, args):
 
 def run_ledger(spark, args):
     pairs = [tuple(pair.split("=", 1)) for pair in args.pair]
-    results = table(spark, args, args.table)
     if args.url is None:
+        results = table(spark, args, args.table, RESULT_COLUMN)
         fresh = record_medal_count(results, pairs, path=args.ledger)
     else:
-        fresh = record_medal_count(results, pairs, jdbc=database(args, args.ledger))
+        fresh = record_medal_count_jdbc(
+            spark, pairs, database(args, args.table), database(args, args.ledger)
+        )
     print("fresh" if fresh else "stale")
 
 
 def run_check(spark, args):
     args.partition_column = None
-    fresh = is_fresh(table(spark, args, args.ledger), args.seconds)
+    fresh = is_fresh(table(spark, args, args.ledger, None), args.seconds)
     print("fresh" if fresh else "stale")
     return 0 if fresh else 1
 
@@ -159,13 +185,16 @@ def parser() -> argparse.ArgumentParser:
     db.add_argument("--url", help="JDBC URL; without it, tables are Parquet paths")
     db.add_argument("--driver")
     db.add_argument("--user")
-    db.add_argument("--partition-column", default=PARTITION_COLUMN)
-    db.add_argument("--num-partitions", type=int, default=NUM_PARTITIONS)
+    db.add_argument("--partition-column", help="key in whose ranges a table is read")
+    db.add_argument("--num-partitions", type=int, help="ranges; as many as cores without it")
 
     topic = argparse.ArgumentParser(add_help=False)
     topic.add_argument("--topic", required=True)
     topic.add_argument("--servers", help="brokers, separated by commas")
     topic.add_argument("--format", default="kafka", choices=["kafka", "text", "parquet"])
+    topic.add_argument(
+        "--option", action="append", default=[], help="key=value for the connector"
+    )
 
     commands = argparse.ArgumentParser(prog="podium")
     sub = commands.add_subparsers(required=True, dest="command")
@@ -189,6 +218,7 @@ def parser() -> argparse.ArgumentParser:
     enrich.add_argument("--checkpoint", required=True)
     enrich.add_argument("--out-topic")
     enrich.add_argument("--out-table")
+    enrich.add_argument("--epoch-column", help="adds the epoch's number under this name")
     enrich.add_argument("--snapshot", default="append", choices=["append", "replace"])
     enrich.add_argument("--country-from", default="bio", choices=["bio", "event"])
     enrich.add_argument("--keep-missing", action="store_true")

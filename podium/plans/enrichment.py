@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from podium.functions.codec import decode_json, encode_json
 from podium.operators.enrich import avg_stats
 from podium.schemas import ENRICHED_AVG, EVENT_RESULTS
+from podium.shared import checkpoint_for
 from podium.sinks import preview, write_topic
 from podium.streaming.console import CONSOLE_ROWS, Sink, to_console, write_console
 from podium.streaming.fanout import fan_out
@@ -56,7 +57,11 @@ def enrich_stream(
     if country_from == "event":
         fields.append("country_noc")
     results = decode_json(messages, schema, fields, unwrap)
-    stats = avg_stats(results, bio, country_from, drop_missing, **options)
+    # Beside what Spark keeps there: a new start puts its sums in place of the old.
+    static_dir = f"{checkpoint.rstrip('/')}/static"
+    stats = avg_stats(
+        results, bio, country_from, drop_missing, **{"static_dir": static_dir, **options}
+    )
     if console:
         sinks = [to_console(console_rows), *sinks]
     if not sinks:
@@ -83,12 +88,14 @@ def consume_topic(
     """Decode messages, each once, to the console or to Parquet at ``path``.
 
     A message that does not parse is a row of nulls. Stops when it has caught
-    up, unless told otherwise.
+    up, unless told otherwise. Without ``checkpoint`` it is in the folder that the
+    session names for checkpoints, or a new one in the shared folder.
     """
     rows = decode_json(messages, schema, unwrap=unwrap, options=json_options)
     if path is None:
         return write_console(rows, available_now=available_now, checkpoint=checkpoint)
     writer = rows.writeStream.outputMode("append").format("parquet")
+    checkpoint = checkpoint_for(rows.sparkSession, checkpoint, "consumer")
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

@@ -1,5 +1,6 @@
 """Working folders that every executor can reach."""
 
+import re
 import tempfile
 import uuid
 
@@ -15,13 +16,27 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # One process: "local", "local[4]"; but "local-cluster[...]" starts others.
+    if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
         raise ValueError(
             "set spark.checkpoint.dir to a folder that all executors share"
         )
     return tempfile.mkdtemp(prefix="podium-")
 
 
+def checkpoint_for(spark: SparkSession, given: str | None, purpose: str) -> str | None:
+    """Where a query that was given no checkpoint keeps it.
+
+    ``None`` if the session names a folder for that, in which Spark makes one.
+    Spark's own choice otherwise would be a temporary folder of the driver.
+    """
+    if given is not None:
+        return given
+    if spark.conf.get("spark.sql.streaming.checkpointLocation", None):
+        return None
+    return working_dir(spark, purpose)
+
+
 def working_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name for one run; the writer makes the folder."""
     return f"{shared_root(spark)}/podium/{purpose}-{uuid.uuid4().hex}"

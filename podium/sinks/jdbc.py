@@ -17,9 +17,11 @@ def write_jdbc(
     column_types: str | None = None,
     num_partitions: int = NUM_PARTITIONS,
 ) -> None:
-    """Append ``df`` over at most ``num_partitions`` connections.
+    """Append ``df`` over ``num_partitions`` connections.
 
-    The table is made if it is missing, with ``column_types`` where given.
+    The table is made if it is missing, with ``column_types`` where given. The rows
+    are dealt out first: Spark would else bring the stages above the write down to
+    so few tasks.
     """
     options = {
         **jdbc_options(url, table, driver, user, password),
@@ -28,4 +30,4 @@ def write_jdbc(
     }
     if column_types is not None:
         options["createTableColumnTypes"] = column_types
-    df.write.format("jdbc").options(**options).mode("append").save()
+    df.repartition(num_partitions).write.format("jdbc").options(**options).mode("append").save()

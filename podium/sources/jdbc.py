@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The column the tables are read in ranges of, and how many.
+# The column biographies are read in ranges of, that of results, of
+# which no key has many rows, and the number of connections a write uses.
 PARTITION_COLUMN = "athlete_id"
+RESULT_COLUMN = "result_id"
 NUM_PARTITIONS = 10
 
 FETCH_ROWS = 10_000
@@ -35,13 +37,16 @@ def read_jdbc(
     password: str | None = None,
     partition_column: str | None = PARTITION_COLUMN,
     bounds: tuple | None = None,
-    num_partitions: int = NUM_PARTITIONS,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Read ``table`` in ``num_partitions`` ranges of ``partition_column``.
 
-    ``bounds`` only set the stride; rows outside them are read too. By default
-    the database is asked for the least and greatest key, so that the ranges
-    cover the keys there are. A range holds all rows of its keys: where one
+    As many ranges as the session has cores, unless given. ``bounds`` only set the
+    stride; rows outside them are read too. By default the database is asked for
+    the least and greatest key, so that the ranges cover the keys there are; of a
+    stream's static side that is the time when the stream starts, and keys that
+    come later are all read with the last range: start it again, or give
+    ``bounds`` with room. A range holds all rows of its keys: where one
     athlete may have a large part of the results, read those in ranges of
     another column, such as ``result_id``. ``None`` reads a small table in one
     go.
@@ -58,5 +63,5 @@ def read_jdbc(
         options["partitionColumn"] = partition_column
         options["lowerBound"] = str(bounds[0])
         options["upperBound"] = str(bounds[1])
-        options["numPartitions"] = str(num_partitions)
+        options["numPartitions"] = str(num_partitions or spark.sparkContext.defaultParallelism)
     return spark.read.format("jdbc").options(**options).load()

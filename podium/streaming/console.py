@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from podium.shared import checkpoint_for
+
 Sink = Callable[[DataFrame, int], None]
 
 # Fixed value: rows shown of an epoch.
@@ -42,11 +44,13 @@ def write_console(
     """Start a query that prints each micro-batch.
 
     ``available_now`` stops it when it has caught up; otherwise it goes on as
-    fast as it can.
+    fast as it can. Without ``checkpoint`` it is in the folder that the session
+    names for checkpoints, or a new one in the shared folder.
     """
     writer = df.writeStream.outputMode(output_mode).foreachBatch(
         to_console(rows, truncate, stateful=output_mode != "append")
     )
+    checkpoint = checkpoint_for(df.sparkSession, checkpoint, "console")
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

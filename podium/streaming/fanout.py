@@ -6,6 +6,7 @@ transaction, and an epoch that fails midway runs again after a restart.
 """
 
 import logging
+import re
 from functools import partial
 
 from pyspark import StorageLevel
@@ -43,35 +44,52 @@ def fan_out(*sinks: Sink) -> Sink:
     return write
 
 
+def _with_epoch(batch: DataFrame, epoch_id: int, column: str | None) -> DataFrame:
+    return batch if column is None else batch.withColumn(column, F.lit(epoch_id).cast("long"))
+
+
 def to_topic(
     topic: str,
     servers: list[str] | None = None,
     fmt: str = "kafka",
     json_options: dict[str, str] | None = None,
+    epoch_column: str | None = None,
+    **options: str,
 ) -> Sink:
-    """Publish the rows as JSON messages."""
+    """Publish the rows as JSON messages.
+
+    ``epoch_column`` adds the number of the epoch under that name: a reader can
+    tell the whole results apart and drop one that was sent twice. Further options
+    go to Spark's writer, such as a broker's security protocol.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        write_topic(encode_json(batch, json_options), topic, servers, fmt)
+        batch = _with_epoch(batch, epoch_id, epoch_column)
+        write_topic(encode_json(batch, json_options), topic, servers, fmt, **options)
 
     return write
 
 
-def to_jdbc(url: str, table: str, **access: str) -> Sink:
-    """Append to a database table, with the arguments of ``write_jdbc``."""
+def to_jdbc(url: str, table: str, epoch_column: str | None = None, **access: str) -> Sink:
+    """Append to a database table, with the arguments of ``write_jdbc``.
+
+    ``epoch_column`` as for ``to_topic``.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        write_jdbc(batch, url, table, **access)
+        write_jdbc(_with_epoch(batch, epoch_id, epoch_column), url, table, **access)
 
     return write
 
 
 def to_table(path: str, snapshot: str = "append") -> Sink:
-    """Write to a Parquet table at ``path``.
+    """Write each epoch to a folder ``epoch_id=<n>`` of a Parquet table at ``path``.
 
-    ``"append"`` keeps each epoch, in a column ``epoch_id``. An epoch that runs
-    again replaces itself; epochs are numbered by the checkpoint, so a new
-    checkpoint needs a new table. ``"replace"`` keeps the latest epoch only.
+    ``"append"`` keeps all epochs. ``"replace"`` keeps the latest: older ones go
+    once it is complete, so there is one to read at any time (with
+    ``latest_snapshot``). An epoch that runs again replaces itself. Epochs are
+    numbered by the checkpoint; a first epoch in a table that has later ones is
+    refused, since it would look older than they are.
     """
     if snapshot not in ("append", "replace"):
         raise ValueError("snapshot is 'append' or 'replace'")
@@ -79,12 +97,37 @@ def to_table(path: str, snapshot: str = "append") -> Sink:
 
 
 def _write_epoch(batch: DataFrame, epoch_id: int, path: str, snapshot: str) -> None:
-    target = path if snapshot == "replace" else f"{path}/epoch_id={epoch_id}"
-    batch.write.mode("overwrite").parquet(target)
+    spark = batch.sparkSession
+    if epoch_id == 0 and any(n > 0 for n in _epochs(spark, path)):
+        raise ValueError(f"{path} has epochs of another checkpoint; use a new table")
+    batch.write.mode("overwrite").parquet(f"{path}/epoch_id={epoch_id}")
+    if snapshot == "replace":
+        files, _ = _files(spark, path)
+        for n in _epochs(spark, path):
+            if n < epoch_id:
+                files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch_id={n}"), True)
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of the store that holds ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete epochs, by the names of folders alone."""
+    files, where = _files(spark, path)
+    if not files.exists(where):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(where)]
+    found = [int(name[9:]) for name in names if re.fullmatch(r"epoch_id=\d+", name)]
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n in found if files.exists(marker(f"{path}/epoch_id={n}/_SUCCESS")))
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last epoch of an append table, without ``epoch_id``."""
-    epochs = spark.read.parquet(path)
-    last = epochs.agg(F.max("epoch_id")).scalar()
-    return epochs.filter(F.col("epoch_id") == last).drop("epoch_id")
+    """Rows of the last complete epoch of a table that ``to_table`` writes."""
+    epochs = _epochs(spark, path)
+    if not epochs:
+        raise ValueError(f"{path} has no complete epoch")
+    return spark.read.parquet(f"{path}/epoch_id={epochs[-1]}")

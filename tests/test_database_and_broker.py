@@ -7,8 +7,9 @@ order of calls, on a stand-in for the reader and the writer.
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import functions as F
 
-from podium.operators.ledger import append_count
+from podium.operators.ledger import append_count, count_pairs_jdbc
 from podium.sinks import write_jdbc, write_topic
 from podium.sources import jdbc_options, read_jdbc, read_topic, topic_options
 from podium.streaming import to_jdbc, to_topic
@@ -40,6 +41,7 @@ def frame():
 
     df.write.format.return_value.options.side_effect = options
     df.write.format.return_value.mode.return_value = df.write.format.return_value
+    df.repartition.return_value = df
     return df, calls
 
 
@@ -49,6 +51,7 @@ def test_absent_settings_are_left_out():
 
 def test_ranges_between_given_bounds():
     spark, calls = stand_in()
+    spark.sparkContext.defaultParallelism = 6
     read_jdbc(spark, **ACCESS, bounds=(1, 1_000_000))
     assert calls == [
         {
@@ -61,7 +64,7 @@ def test_ranges_between_given_bounds():
             "partitionColumn": "athlete_id",
             "lowerBound": "1",
             "upperBound": "1000000",
-            "numPartitions": "10",
+            "numPartitions": "6",
         }
     ]
 
@@ -92,6 +95,36 @@ def test_append_to_a_database(write):
     df.write.format.return_value.mode.assert_called_with("append")
     assert calls[0]["createTableColumnTypes"] == "medal_type VARCHAR(10)"
     assert calls[0]["dbtable"] == "t" and calls[0]["numPartitions"] == "10"
+    # Dealt out first, or Spark runs what comes before in ten tasks.
+    df.repartition.assert_called_once_with(10)
+
+
+def test_epoch_column_in_a_database(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        "podium.streaming.fanout.write_jdbc",
+        lambda df, *where, **access: seen.append((df.collect(), where, access)),
+    )
+    to_jdbc("u", "t", epoch_column="epoch_id", user="x")(spark.range(1), 7)
+    to_jdbc("u", "t")(spark.range(1), 7)
+    assert seen == [([(0, 7)], ("u", "t"), {"user": "x"}), ([(0,)], ("u", "t"), {})]
+
+
+def test_the_database_counts(spark, monkeypatch):
+    asked = []
+
+    def read(session, **access):
+        asked.append(access)
+        return session.createDataFrame(
+            [("Gold", 5), ("gold", 1), (None, 9)], "v string, n long"
+        ).withColumn("n", F.col("n").cast("decimal(20,0)"))
+
+    monkeypatch.setattr("podium.operators.ledger.read_jdbc", read)
+    got = count_pairs_jdbc(spark, "medal", [("Bronze", "Gold"), ("x", "Tin")], **ACCESS)
+    assert sorted(map(tuple, got.collect())) == [("Bronze", 5), ("x", 0)]
+    (access,) = asked
+    assert access["table"] == "(select medal as v, count(*) as n from t group by medal) counts"
+    assert access["partition_column"] is None and access["url"] == ACCESS["url"]
 
 
 def test_ledger_in_a_database_has_a_label_of_fixed_width(spark, monkeypatch):
@@ -140,7 +173,8 @@ def test_publish_to_a_broker(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(
         "podium.streaming.fanout.write_topic",
-        lambda messages, *where: seen.append((messages.columns, where)),
+        lambda messages, *where, **options: seen.append((messages.columns, where, options)),
     )
-    to_topic("avg", ["a:1"])(spark.range(1), 0)
-    assert seen == [(["key", "value"], ("avg", ["a:1"], "kafka"))]
+    secure = {"kafka.security.protocol": "SSL"}
+    to_topic("avg", ["a:1"], **secure)(spark.range(1), 0)
+    assert seen == [(["key", "value"], ("avg", ["a:1"], "kafka"), secure)]

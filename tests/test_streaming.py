@@ -1,6 +1,8 @@
 """Streams: equal to the batch, restarts, sinks, the console."""
 
+import json
 import math
+from pathlib import Path
 
 import pytest
 
@@ -100,7 +102,8 @@ def test_every_epoch_is_kept_or_only_the_last(spark, tmp_path, bio):
     epochs = spark.read.parquet(every)
     assert sorted(r[0] for r in epochs.select("epoch_id").distinct().collect()) == [0, 1]
     assert epochs.filter("epoch_id = 0").count() < epochs.filter("epoch_id = 1").count()
-    assert rows(spark.read.parquet(last)) == rows(latest_snapshot(spark, every))
+    assert rows(latest_snapshot(spark, last)) == rows(latest_snapshot(spark, every))
+    assert [p.name for p in (tmp_path / "last").glob("epoch_id=*")] == ["epoch_id=1"]
     # All groups carry the time of their epoch, changed or not.
     times = epochs.groupBy("epoch_id").agg({"timestamp": "count"}).count()
     assert times == epochs.select("epoch_id", "timestamp").distinct().count() == 2
@@ -116,6 +119,54 @@ def test_epoch_that_runs_again_replaces_itself(spark, tmp_path):
     assert latest_snapshot(spark, table).count() == 4
 
 
+def test_a_used_table_with_a_new_checkpoint_is_refused(spark, tmp_path):
+    for snapshot in ("append", "replace"):
+        sink = to_table(str(tmp_path / snapshot), snapshot)
+        sink(spark.range(3), 0)
+        sink(spark.range(2), 0)  # the first epoch may run again
+        sink(spark.range(5), 1)
+        with pytest.raises(ValueError, match="another checkpoint"):
+            sink(spark.range(9), 0)
+        assert latest_snapshot(spark, str(tmp_path / snapshot)).count() == 5
+
+
+def test_an_epoch_that_broke_off_is_not_the_last(spark, tmp_path):
+    table = tmp_path / "t"
+    to_table(str(table))(spark.range(3), 7)
+    to_table(str(table))(spark.range(5), 8)
+    (table / "epoch_id=8" / "_SUCCESS").unlink()
+    assert latest_snapshot(spark, str(table)).count() == 3
+    with pytest.raises(ValueError, match="no complete epoch"):
+        latest_snapshot(spark, str(tmp_path / "nothing"))
+
+
+def test_a_table_is_readable_while_it_is_replaced(spark, tmp_path):
+    table = str(tmp_path / "t")
+    to_table(table, "replace")(spark.range(3), 0)
+    seen = []
+
+    def write(batch, epoch_id):
+        to_table(table, "replace")(batch, epoch_id)
+        seen.append(latest_snapshot(spark, table).count())
+
+    failing = spark.range(4).selectExpr("id", "assert_true(id < 2) as ok")
+    with pytest.raises(Exception):
+        write(failing, 1)
+    assert latest_snapshot(spark, table).count() == 3
+    write(spark.range(5), 1)
+    assert seen == [5]
+
+
+def test_epochs_can_be_told_apart_in_a_topic(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    sink = to_topic(topic, fmt="text", epoch_column="epoch_id", compression="gzip")
+    sink(spark.range(2), 4)
+    sink(spark.range(3), 5)
+    got = [json.loads(r.value) for r in spark.read.text(topic).collect()]
+    assert sorted((g["epoch_id"], g["id"]) for g in got) == [(4, 0), (4, 1), (5, 0), (5, 1), (5, 2)]
+    assert list(Path(topic).glob("*.gz"))
+
+
 def test_restart_goes_on_and_runs_nothing_without_new_messages(spark, tmp_path, bio):
     feed, table, checkpoint = (str(tmp_path / p) for p in ("feed", "table", "c"))
     publish(spark, feed, (0, 100))
@@ -188,21 +239,125 @@ def test_sums_of_biographies_in_files_are_written_once(spark, tmp_path, bio, joi
     bio.write.parquet(where)
     written = []
 
-    def counting(totals):
-        written.append(totals.columns)
-        return write(totals)
+    def counting(totals, path):
+        written.append(path)
+        return write(totals, path)
 
-    write = enrich._written
-    monkeypatch.setattr(enrich, "_written", counting)
+    write = enrich._bucketed
+    monkeypatch.setattr(enrich, "_bucketed", counting)
     static = spark.read.parquet(where)
     run(spark, feed, static, [to_table(table)], str(tmp_path / "c"), join=join)
-    assert len(written) == 1
+    assert written == [str(tmp_path / "c" / "static")]
     batch = avg_stats(results(spark, 0, 100), bio, "bio", drop_missing=True)
     assert rows(latest_snapshot(spark, table)) == rows(batch)
-    run(spark, feed, bio, [to_table(table)], str(tmp_path / "c2"), join=join)
+    other = str(tmp_path / "other")
+    run(spark, feed, bio, [to_table(other)], str(tmp_path / "c2"), join=join)
     assert len(written) == 1
 
 
+def test_starting_again_leaves_one_copy_of_the_sums(spark, tmp_path, bio):
+    feed, where, table, checkpoint = (str(tmp_path / p) for p in ("feed", "bio", "table", "c"))
+    bio.write.parquet(where)
+    for start in (0, 50):
+        publish(spark, feed, (start, start + 50))
+        static = spark.read.parquet(where)
+        run(spark, feed, static, [to_table(table)], checkpoint, join="shuffle")
+    batch = avg_stats(results(spark, 0, 100), bio, "bio", drop_missing=True)
+    assert rows(latest_snapshot(spark, table)) == rows(batch)
+    files = list((tmp_path / "c" / "static").glob("part-*.parquet"))
+    assert sum(spark.read.parquet(str(f)).count() for f in files) == bio.filter(
+        "height is not null and weight is not null and not isnan(height) and not isnan(weight)"
+    ).select("athlete_id", "sex", "country_noc").distinct().count()
+
+
+def test_no_epoch_shuffles_the_biographies(spark, tmp_path, bio):
+    feed, where, table = (str(tmp_path / p) for p in ("feed", "bio", "table"))
+    publish(spark, feed, (0, 50))
+    bio.write.parquet(where)
+    before = spark.conf.get(SPARK_BROADCAST)
+    spark.conf.set(SPARK_BROADCAST, "-1")
+    plans = []
+
+    def look(batch, epoch_id):
+        batch.count()
+
+    try:
+        query = enrich_stream(
+            read_topic(spark, feed, fmt="text"),
+            spark.read.parquet(where),
+            [look],
+            str(tmp_path / "c"),
+            schema=results(spark, 0, 1).schema,
+            available_now=True,
+            join="shuffle",
+        )
+        query.awaitTermination()
+        plans.append(query._jsq.streamingQuery().lastExecution().executedPlan().toString())
+    finally:
+        spark.conf.set(SPARK_BROADCAST, before)
+    (plan,) = plans
+    assert "SortMergeJoin" in plan
+    # One exchange of the messages and one of the groups.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_only_lists_of_files_are_fixed(spark, tmp_path, bio):
+    where = str(tmp_path / "bio")
+    bio.write.parquet(where)
+    files = spark.read.parquet(where)
+    assert enrich.only_files(files) and enrich.only_files(files.filter("athlete_id > 1"))
+    assert not enrich.only_files(bio)
+    assert not enrich.only_files(files.unionByName(bio))
+
+
+def test_a_static_side_that_is_no_file_is_not_measured(spark, tmp_path, bio, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("measured for nothing")
+
+    monkeypatch.setattr(enrich, "measured_bytes", refuse)
+    feed = str(tmp_path / "feed")
+    publish(spark, feed, (0, 5))
+    run(spark, feed, bio, [to_table(str(tmp_path / "t"))], str(tmp_path / "c"))
+
+
+def test_checkpoints_are_never_local_to_the_driver(spark, tmp_path, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from podium import shared
+
+    def session(**conf):
+        spark = MagicMock()
+        spark.conf.get.side_effect = lambda key, default=None: conf.get(key, default)
+        return spark
+
+    cluster = {"spark.master": "local-cluster[2,1,1024]"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.checkpoint_for(session(**cluster), None, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.checkpoint_for(session(**{"spark.master": "yarn"}), None, "x")
+    assert shared.checkpoint_for(session(**cluster), "/given", "x") == "/given"
+    named = {**cluster, "spark.sql.streaming.checkpointLocation": "s3://c"}
+    assert shared.checkpoint_for(session(**named), None, "x") is None
+    folder = {**cluster, "spark.checkpoint.dir": "s3://d/"}
+    assert shared.checkpoint_for(session(**folder), None, "x").startswith("s3://d/podium/x-")
+    for master in ("local", "local[*]"):
+        monkeypatch.setattr(shared.tempfile, "mkdtemp", lambda prefix: "/tmp/own")
+        assert shared.shared_root(session(**{"spark.master": master})) == "/tmp/own"
+
+
+@pytest.mark.parametrize("path", [None, "out"])
+def test_a_consumer_without_checkpoint_keeps_it_in_the_shared_folder(
+    spark, tmp_path, bio, path, monkeypatch
+):
+    feed, shared = str(tmp_path / "feed"), tmp_path / "shared"
+    publish_table(avg_stats(results(spark, 0, 50), bio), feed, fmt="text")
+    monkeypatch.setattr("podium.shared.shared_root", lambda session: str(shared))
+    consume_topic(
+        read_topic(spark, feed, fmt="text"), path=path and str(tmp_path / path)
+    ).awaitTermination()
+    assert len(list(shared.glob("podium/*/offsets"))) == 1
+
+
 @pytest.mark.parametrize("fmt", ["text", "parquet"])
 def test_consumer_keeps_broken_messages_as_nulls(spark, tmp_path, bio, fmt):
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
