@@ -9,21 +9,28 @@ boolean column.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from podium.functions.codec import decode_json, encode_json
 from podium.operators.clean import drop_duplicate_rows, drop_missing, normalize_text
 from podium.operators.enrich import avg_stats
-from podium.operators.ledger import ROTATED_PAIRS, count_pairs, count_where, recent_entry
+from podium.operators.ledger import (
+    ROTATED_PAIRS,
+    append_count,
+    count_pairs,
+    count_where,
+    is_fresh,
+    recent_entry,
+)
 from podium.plans.enrichment import consume_topic, enrich_stream, publish_table
-from podium.plans.ledger import record_medal_count
 from podium.plans.medallion import BIO, RESULTS, bronze_to_silver, landing_to_bronze, run_medallion
 from podium.schemas import ENRICHED_AVG, with_names
 from podium.shared import working_dir
-from podium.sinks import write_layer
+from podium.sinks import write_layer, write_topic
 from podium.sources import read_topic
 from podium.streaming.fanout import latest_snapshot, to_table, to_topic
 
@@ -66,6 +73,9 @@ CENTS_COLUMNS = [
     "-c_acctbal as weight",
 ]
 
+# Files of a feed that make an epoch; a feed has four times as many.
+EPOCH_FILES = 2
+
 MEDALS = ["Gold", "Silver", "Bronze"]
 KEYS = ["sport", "medal", "sex", "country_noc"]
 
@@ -95,19 +105,32 @@ def _nan_flagged(stats: DataFrame) -> DataFrame:
     return stats.select(columns)
 
 
-def _published_results(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Publish the results to a feed; the feed and a fourth of its files."""
-    res = _res(spark, sf_dir)
-    feed = working_dir(spark, "feed")
-    rows_per_file = max(4000, res.count() // 100_000)
-    publish_table(res, feed, fmt="text", maxRecordsPerFile=str(rows_per_file))
-    files = len(spark.read.text(feed).inputFiles())
-    return feed, -(-files // 4)
+def _twice(messages: DataFrame) -> DataFrame:
+    """Messages encoded once more, as text in JSON."""
+    escaped = F.replace(
+        F.replace(F.col("value"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')
+    )
+    return messages.withColumn("value", F.concat(F.lit('"'), escaped, F.lit('"')))
 
 
-def _enriched(spark: SparkSession, sf_dir: str, sinks: list, **options) -> None:
-    """Run the enrichment stream over the published results, in four epochs."""
-    feed, files = _published_results(spark, sf_dir)
+def _published_results(
+    spark: SparkSession, sf_dir: str, twice_encoded: bool = False
+) -> tuple[str, int]:
+    """Publish the results to a feed; the feed and how many files make an epoch."""
+    res = _res(spark, sf_dir).repartition(4 * EPOCH_FILES)
+    feed = working_dir(spark, "feed")
+    if twice_encoded:
+        write_topic(_twice(encode_json(res)), feed, fmt="text")
+    else:
+        publish_table(res, feed, fmt="text")
+    return feed, EPOCH_FILES
+
+
+def _enriched(
+    spark: SparkSession, sf_dir: str, sinks: list, twice_encoded: bool = False, **options
+) -> None:
+    """Run the enrichment stream over the published results, in several epochs."""
+    feed, files = _published_results(spark, sf_dir, twice_encoded)
     enrich_stream(
         read_topic(spark, feed, fmt="text", max_per_trigger=files),
         _bio(spark, sf_dir),
@@ -164,16 +187,37 @@ def enrich_stream_unfiltered(spark, sf_dir):
     return _nan_flagged(latest_snapshot(spark, table))
 
 
+def enrich_stream_unwrapped(spark, sf_dir):
+    """The feed encoded twice, as some publishers leave it."""
+    table = working_dir(spark, "enriched")
+    _enriched(spark, sf_dir, [to_table(table)], twice_encoded=True, unwrap=True)
+    return latest_snapshot(spark, table).drop("timestamp")
+
+
 def fan_out_snapshots(spark, sf_dir):
+    """The last epoch of each sink, that of the topic read back from its messages."""
     topic, every, last = (working_dir(spark, p) for p in ("topic", "every", "last"))
     _enriched(
         spark,
         sf_dir,
-        [to_topic(topic, fmt="text"), to_table(every), to_table(last, "replace")],
+        [
+            to_topic(topic, fmt="text", epoch_column="epoch_id"),
+            to_table(every),
+            to_table(last, "replace"),
+        ],
     )
-    kept = latest_snapshot(spark, every).withColumn("snapshot", F.lit("append"))
-    replaced = spark.read.parquet(last).withColumn("snapshot", F.lit("replace"))
-    return kept.unionByName(replaced).drop("timestamp")
+    schema = StructType([*ENRICHED_AVG.fields, StructField("epoch_id", LongType())])
+    sent = decode_json(spark.read.text(topic), schema)
+    newest = F.max("epoch_id").over(Window.partitionBy(*KEYS))
+    # Groups only grow from epoch to epoch, so the last epoch has all of them.
+    read = sent.withColumn("newest", newest).filter("epoch_id = newest").drop("epoch_id", "newest")
+    parts = {
+        "topic": read,
+        "append": latest_snapshot(spark, every),
+        "replace": latest_snapshot(spark, last),
+    }
+    named = [df.withColumn("snapshot", F.lit(name)) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, named).drop("timestamp")
 
 
 # --- cleaning and layers --------------------------------------------------
@@ -222,6 +266,13 @@ def json_roundtrip(spark, sf_dir):
     return decode_json(encode_json(res), res.schema)
 
 
+def json_roundtrip_binary(spark, sf_dir):
+    """Messages as a broker hands them out: a key, and bytes."""
+    res = _res(spark, sf_dir)
+    messages = encode_json(res).withColumn("value", F.col("value").cast("binary"))
+    return decode_json(messages, res.schema, keep=["key"])
+
+
 def json_roundtrip_escaped(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -230,11 +281,7 @@ def json_roundtrip_escaped(spark, sf_dir):
 
 def json_unwrap(spark, sf_dir):
     res = _res(spark, sf_dir)
-    escaped = F.replace(
-        F.replace(F.col("value"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')
-    )
-    twice = encode_json(res).withColumn("value", F.concat(F.lit('"'), escaped, F.lit('"')))
-    return decode_json(twice, res.schema, unwrap=True)
+    return decode_json(_twice(encode_json(res)), res.schema, unwrap=True)
 
 
 def json_unwrap_lossy(spark, sf_dir):
@@ -285,9 +332,16 @@ def medal_count_gold(spark, sf_dir):
 
 
 def ledger_rotated(spark, sf_dir):
+    """Entries, and whether each has a time that is not before the end of the count."""
     ledger = working_dir(spark, "ledger")
-    record_medal_count(_res(spark, sf_dir), ROTATED_PAIRS, path=ledger)
-    return spark.read.parquet(ledger).select("medal_type", "count")
+    counted = append_count(
+        count_pairs(_res(spark, sf_dir), "medal", ROTATED_PAIRS), path=ledger
+    )
+    if not is_fresh(spark.read.parquet(ledger)):
+        raise ValueError("the ledger is stale right after an entry")
+    return spark.read.parquet(ledger).select(
+        "medal_type", "count", (F.col("created_at") >= F.lit(counted)).alias("timed_after_count")
+    )
 
 
 def ledger_fresh(spark, sf_dir):
@@ -314,6 +368,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_stream": enrich_stream_query,
         "enrich_stream_shuffled": enrich_stream_shuffled,
         "enrich_stream_unfiltered": enrich_stream_unfiltered,
+        "enrich_stream_unwrapped": enrich_stream_unwrapped,
         "fan_out_snapshots": fan_out_snapshots,
         "drop_missing": drop_missing_query,
         "silver_normalize": silver_normalize,
@@ -322,6 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_to_bronze": csv_to_bronze,
         "medallion_end_to_end": medallion_end_to_end,
         "json_roundtrip": json_roundtrip,
+        "json_roundtrip_binary": json_roundtrip_binary,
         "json_roundtrip_escaped": json_roundtrip_escaped,
         "json_unwrap": json_unwrap,
         "json_unwrap_lossy": json_unwrap_lossy,
@@ -382,9 +438,11 @@ def oracle_sql() -> dict[str, str]:
         "enrich_stream": views + enriched,
         "enrich_stream_shuffled": views + enriched,
         "enrich_stream_unfiltered": gold,
+        "enrich_stream_unwrapped": views + enriched,
         "fan_out_snapshots": (
             f"{views}, stats as ({enriched}) "
-            "select *, 'append' as snapshot from stats "
+            "select *, 'topic' as snapshot from stats "
+            "union all select *, 'append' as snapshot from stats "
             "union all select *, 'replace' as snapshot from stats"
         ),
         "drop_missing": f"{views} select * from bio where {present}",
@@ -402,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_to_bronze": "select * from part",
         "medallion_end_to_end": medallion,
         "json_roundtrip": f"{views} select * from res",
+        "json_roundtrip_binary": f"{views} select cast(null as varchar) as key, * from res",
         "json_roundtrip_escaped": "select * from events",
         "json_unwrap": f"{views} select * from res",
         "json_unwrap_lossy": (
@@ -422,7 +481,8 @@ def oracle_sql() -> dict[str, str]:
         "medal_count_gold": f"{views} select count(*) as \"count\" from res where medal = 'Gold'",
         "ledger_rotated": views
         + " union all ".join(
-            f"select '{label}' as medal_type, count(*) as \"count\" from res where medal = '{m}'"
+            f"select '{label}' as medal_type, count(*) as \"count\", true as timed_after_count "
+            f"from res where medal = '{m}'"
             for label, m in ROTATED_PAIRS
         ),
         "ledger_fresh": (

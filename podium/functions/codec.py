@@ -53,9 +53,12 @@ def decode_json(
     fields: Sequence[str] | None = None,
     unwrap: bool = False,
     options: dict[str, str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Parse ``value`` by ``schema``; give ``fields``, or all of them.
 
+    ``keep`` names columns of the message, such as ``key``, that go before them.
+
     A message that does not parse gives a row of nulls, a field of another
     type gives null in that field. Field names match with case. Only the
     fields asked for are converted.
@@ -68,4 +71,5 @@ def decode_json(
     if fields is not None:
         schema = StructType([schema[name] for name in fields])
     data = F.from_json("value", schema, options)
-    return messages.select(value.alias("value")).select(F.inline(F.array(data)))
+    parsed = messages.select(*keep, value.alias("value"))
+    return parsed.select(*keep, F.inline(F.array(data)))

@@ -31,7 +31,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.queries().keys() - contract.LLM_QUERIES.keys()))
 def test_query_equals_sql(spark, duck, name):
     got = contract.queries()[name](spark, str(SF_DIR))
     want = duck.sql(contract.oracle_sql()[name])
