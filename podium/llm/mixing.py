@@ -79,7 +79,7 @@ def mix_plan(
     weights: tuple[float, ...] = (3.0, 1.0, 2.0),
     share: float = 1.5,
     most: float = 2.0,
-    rows_in_range: int = 100_000,
+    rows_in_range: int = 4_000,
 ) -> DataFrame:
     """One row for all equal documents, with what the mix takes of them.
 
@@ -149,7 +149,7 @@ def mix_sources(
     weights: tuple[float, ...] = (3.0, 1.0, 2.0),
     share: float = 1.5,
     most: float = 2.0,
-    rows_in_range: int = 100_000,
+    rows_in_range: int = 4_000,
 ) -> DataFrame:
     """Per row of ``docs``: its size, its source's size and target, and words taken."""
     plan = mix_plan(docs, weights, share, most, rows_in_range)
@@ -171,7 +171,7 @@ def mixed_documents(
     weights: tuple[float, ...] = (3.0, 1.0, 2.0),
     share: float = 1.5,
     most: float = 2.0,
-    rows_in_range: int = 100_000,
+    rows_in_range: int = 4_000,
 ) -> DataFrame:
     """The documents of the mix, whole, each as often as a pass reaches it.
 

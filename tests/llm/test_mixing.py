@@ -80,7 +80,7 @@ def test_words_are_taken_in_order_of_the_key_up_to_the_budget(spark):
             part = max(0, min(size, rest))
             rest -= part
             expected.append((i, size, passes * size + part if sizes[source] else 0))
-    for rows_in_range in (100_000, 4):
+    for rows_in_range in (4_000, 4):
         got = mix_sources(df, rows_in_range=rows_in_range)
         assert rows(got, "doc_id", "size", "taken") == sorted(expected, key=repr)
     taken = {r[0]: r[1] for r in got.groupBy("source").agg(F.sum("taken")).collect()}
