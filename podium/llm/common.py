@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,17 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches a few rows at a time.
+
+    Spark's batches hold up to 64 MB; what is made of texts in Python takes several
+    times that, and each executor has several workers.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends there."""
     path = working_dir(df.sparkSession, purpose)

@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.common import in_parts
+
 WINDOW = 128
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -135,7 +137,7 @@ class LanguageModel:
         best = self.probabilities(windows, lengths).argmax(axis=2).T
         return [self.languages[i] for row, n in zip(best, lengths) for i in row[:n]]
 
-    def pooled(self, texts: list[bytes], at_once: int = 4096) -> np.ndarray:
+    def pooled(self, texts: list[bytes], at_once: int = 2048) -> np.ndarray:
         """Mean probabilities over the positions of each (not empty) text."""
         totals = np.zeros((len(texts), len(self.languages)))
         for windows, lengths, of in cut_in_parts(texts, at_once):
@@ -274,7 +276,7 @@ def fit_language_model(
     )
 
     def sampled(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             langs, pieces = [], []
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
                 raw = text.encode()
@@ -327,7 +329,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of each row of ``docs``."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             langs, scores = predicted(model, batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -346,7 +348,7 @@ def keep_identified(
     """Rows whose text has a language of at least ``threshold``; all columns stay."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             langs, scores = predicted(model, batch["text"].to_pylist())
             good = [a != UNDETERMINED and b >= threshold for a, b in zip(langs, scores)]
             yield batch.filter(pa.array(good, pa.bool_()))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from podium.llm.common import kept, mixed, words
+from podium.llm.common import in_parts, kept, mixed, words
 
 #: Rows without id have numbers from here on.
 NAMELESS = 1 << 62
@@ -264,7 +264,7 @@ def _classed(texts: DataFrame, width: int) -> DataFrame:
     """``id``, the size ``n`` of the set, and its class ``high``, ``low``."""
 
     def classed(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = [shingle_set(t, width) for t in batch["text"].to_pylist()]
             high, low = zip(*map(_class_of, sets)) if sets else ([], [])
             columns = ([len(s) for s in sets], high, low)
@@ -280,7 +280,7 @@ def _tokens(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """``high`` and ``token``: the shingles that each class looks up."""
 
     def listed(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = [shingle_set(t, width) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -354,7 +354,7 @@ def _sets(
 
     def built(batches):
         wanted, seen = shared.value, set()
-        for batch in batches:
+        for batch in in_parts(batches):
             bit = batch["bit"].to_numpy()
             chosen = wanted[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
             batch = batch.filter(pa.array(chosen.astype(bool)))
@@ -438,7 +438,7 @@ def _stars(met: DataFrame, percent: int) -> DataFrame:
                 [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
             )
 
-        for batch in batches:
+        for batch in in_parts(batches):
             edges = []
             keys = zip(*(batch[c].to_pylist() for c in ("place", "one", "two")))
             parts = zip(*(batch[c].to_pylist() for c in ("id", "tile", "shingles")))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import kept
+from podium.llm.common import in_parts, kept
 from podium.llm.token_counts import WORDS, byte_alphabet
 
 END = 2
@@ -283,7 +283,7 @@ def measure_pieces(docs: DataFrame, path: str, capacity: int = 1024) -> DataFram
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         before = row = 0
-        for batch in batches:
+        for batch in in_parts(batches):
             columns: list[list] = [[] for _ in range(7)]
             for text in batch["text"].to_pylist():
                 ids = token_ids(text, path)

@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from podium.llm.common import in_parts
+
 #: Fixed value: how byte-level BPE cuts a text into words before it merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -73,9 +75,12 @@ def merge_count(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> int:
 class MergeCounter(dict):
     """Tokens of each word seen, worked out at the first request.
 
-    ``most`` bounds the words remembered; a full memory starts again.
+    ``most`` bounds the words remembered, none longer than ``LONGEST``; a full memory
+    starts again.
     """
 
+    LONGEST = 64
+
     def __init__(self, path: str, most: int = 1_500_000):
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)
@@ -94,9 +99,11 @@ class MergeCounter(dict):
 
     def __missing__(self, word: str) -> int:
         raw = word.encode()
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = count = len(raw) - merge_count(raw, self.ranks)
+        count = len(raw) - merge_count(raw, self.ranks)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = count
         return count
 
     def count(self, text: str | None) -> int:
@@ -125,7 +132,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
 
     def counted(batches):
         counter = merge_counter(path)
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch["text"].to_pylist()
             sizes = [len(t.encode()) if t else 0 for t in texts]
             counts = [counter.count(t) for t in texts]

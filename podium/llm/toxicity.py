@@ -25,6 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.common import in_parts
+
+#: Bytes of the longest token that a model holds.
+LONGEST = 100
 #: ASCII punctuation and digits separate tokens.
 _APART = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
 
@@ -148,7 +152,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema=pa.schema([("token", pa.binary()), ("clean", pa.int64()), ("toxic", pa.int64())]),
         )
 
-    for batch in batches:
+    for batch in in_parts(batches):
         for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
             found = set(tokens(text))
             counts[toxic].update(found)
@@ -199,6 +203,7 @@ def fit_toxicity(
         best = (
             counts.select("token", "clean", "toxic", odds.alias("odds"), z.alias("z"))
             .filter((F.col("odds") >= least_odds) & (F.col("z") >= least_z))
+            .filter(F.octet_length("token") <= LONGEST)
             .orderBy(F.desc("z"), "token")
             .limit(vocabulary)
             .collect()
@@ -244,7 +249,7 @@ def _evidence(rows: DataFrame, model: ToxicityModel) -> np.ndarray:
     """Label, best, summed and tokens of each text of the (bounded) sample."""
 
     def measured(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             out = []
             for text in batch["text"].to_pylist():
                 n, segments = model.segments(text)
@@ -269,7 +274,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         passage = pa.list_(
             pa.struct([("start", pa.int64()), ("end", pa.int64()), ("e_value", pa.float64())])
         )
-        for batch in batches:
+        for batch in in_parts(batches):
             scores, passages = [], []
             for text in batch["text"].to_pylist():
                 _, segments = model.segments(text)
@@ -298,7 +303,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     """The rows of ``docs`` whose text scores below ``threshold``; all columns stay."""
 
     def kept(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             clean = [
                 model.probability(*model.evidence(model.segments(t)[1])) < threshold
                 for t in batch["text"].to_pylist()
