@@ -168,7 +168,7 @@ def fit_toxicity(
     *,
     sample: int = 20_000,
     prior: float = 0.05,
-    least_odds: float = 3.5,
+    least_share: float = 0.73,
     least_z: float = 2.2,
     vocabulary: int = 20_000,
     alpha: float = 0.01,
@@ -176,9 +176,10 @@ def fit_toxicity(
     """A model from at most ``sample`` labelled rows of ``docs``.
 
     ``prior`` is the mass of the Dirichlet prior as a share of all tokens, spread
-    as the tokens are over both classes. Tokens score whose log-odds are
-    ``least_odds`` or more and lie ``least_z`` standard errors above 0, at most
-    ``vocabulary`` of them.
+    as the tokens are over both classes. What log-odds a token of toxic texts only can
+    reach depends on the prior and on how many tokens are in toxic texts; tokens score
+    that reach ``least_share`` of it and lie ``least_z`` standard errors above 0, at
+    most ``vocabulary`` of them.
     """
     rows = training_sample(docs, labels, sample).groupBy("text").agg(F.max("toxic").alias("toxic"))
     counts = (
@@ -199,6 +200,9 @@ def fit_toxicity(
         odds = F.log(in_toxic / (toxic + weight - in_toxic)) - F.log(
             in_clean / (clean + weight - in_clean)
         )
+        # A rare token that is in toxic texts only; above 0 for any two classes.
+        highest = np.log((1 + prior) / prior * (clean + weight) / (toxic + weight))
+        least_odds = float(least_share * highest)
         z = odds / F.sqrt(1 / in_toxic + 1 / in_clean)
         best = (
             counts.select("token", "clean", "toxic", odds.alias("odds"), z.alias("z"))

@@ -141,3 +141,25 @@ def test_the_sample_is_bounded_and_the_same_again(spark):
 def test_a_model_without_words_scores_all_alike(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
     assert {r.score for r in score_toxicity(df, ToxicityModel()).collect()} == {0.5}
+
+
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_any_share_of_toxic_labels(spark, share):
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(500):
+        toxic = i % 10 < 10 * share
+        text = prose(rng, rng.randint(20, 200)).split(" ")
+        if toxic:
+            for _ in range(rng.randint(2, 6)):
+                text.insert(rng.randrange(len(text)), rng.choice(BAD))
+        docs.append((i, " ".join(text), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(docs, DOCUMENTS)
+    model = fit_toxicity(
+        docs, spark.createDataFrame(labels[100:], "doc_id long, quality int, toxic int")
+    )
+    assert set(BAD) <= {w.decode() for w in model.weights}
+    got = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    right = [(got[i] >= 0.5) == bool(t) for i, _, t in labels[:100]]
+    assert sum(right) / len(right) > 0.95
