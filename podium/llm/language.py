@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.llm.common import in_parts
@@ -259,20 +259,24 @@ def train(
 def fit_language_model(
     docs: DataFrame, *, sample: int = 4_000, windows: int = 8, **training
 ) -> LanguageModel | None:
-    """A model from about ``sample`` labelled rows of ``docs``, those of least hash.
+    """A model from at most ``sample`` labelled documents of each language in ``docs``.
 
-    Of a row at most ``windows`` windows are learned from, spread evenly over its
-    text, so at most ``sample * windows * WINDOW`` bytes reach the driver. ``None``
-    if there is nothing to learn from.
+    They are those of least hash, each once; of rows with one id and one language it is
+    the least text. At most ``windows`` windows are learned from, spread evenly over a
+    text, so at most ``sample * windows * WINDOW`` bytes of a language reach the driver.
+    ``None`` if there is nothing to learn from.
     """
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("doc_id", "text", "lang")
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
     chosen = (
-        labelled.select("doc_id", "lang")
-        .orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang")
-        .limit(sample)
+        labelled.filter("doc_id is not null")
+        .select("doc_id", "lang")
         .distinct()
+        .withColumn("rank", F.row_number().over(by_hash))
+        .filter(F.col("rank") <= sample)
+        .drop("rank")
     )
 
     def sampled(batches):
@@ -294,10 +298,11 @@ def fit_language_model(
 
     got = (
         labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
         .select("text", "lang")
         .mapInArrow(sampled, "lang string, piece binary")
         .orderBy("lang", "piece")
-        .limit(sample * windows)
         .toArrow()
     )
     if not got.num_rows:

@@ -152,3 +152,14 @@ def test_training_repeats_itself(spark):
     a = fit_language_model(docs, steps=5)
     b = fit_language_model(docs.repartition(7), steps=5)
     assert (a.out == b.out).all() and isinstance(a, LanguageModel)
+
+
+def test_rare_languages_and_repeated_rows(spark):
+    rng = random.Random(7)
+    made = [(i, text(rng, "aa", 30), "aa", "s", 0) for i in range(300)]
+    made += [(1000 + i, text(rng, "cc", 30), "cc", "s", 0) for i in range(2)]
+    made += [(2000, text(rng, "bb", 30), "bb", "s", 0)] * 400
+    docs = spark.createDataFrame(made, DOCUMENTS)
+    for sample in (5, 1):
+        model = fit_language_model(docs, sample=sample, windows=1, steps=1)
+        assert model.languages == ("aa", "bb", "cc")
