@@ -15,6 +15,7 @@ from podium.llm.mixing import KEY_BITS, mix_sources
 from podium.llm.nearest import nearest_neighbours
 from podium.llm.ngram_join import jaccard_components
 from podium.llm.packing import pack_documents
+from podium.llm.pieces import decode_ids, encode_texts
 from podium.llm.simhash import compare_edited
 from podium.llm.token_counts import count_tokens
 from podium.llm.toxicity import fit_toxicity, score_toxicity
@@ -22,6 +23,7 @@ from podium.llm.warc import read_segments, reassemble, write_archives
 from podium.shared import working_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +107,16 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(_table(spark, sf_dir, "documents"), PIECES)
+    return decode_ids(encoded, PIECES).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_reassembly": op2_warc_reassembly,
@@ -116,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_source_mixing": op9_source_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_piece_encoding": op11_piece_encoding,
 }
 
 _WARC_SQL = """
