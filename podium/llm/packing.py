@@ -9,7 +9,7 @@ The reduction fixes sets of pieces that dominate every other set with their
 largest piece: an optimal packing with exactly these sets exists, so nothing is
 lost by fixing them. What remains is packed by best fit, longest first.
 
-Null and empty texts are one end-of-document id. Ties are broken by the order in
+Null and empty texts are one end-of-document id; a text may be of any length. Ties are broken by the order in
 which a task reads rows, so repeated rows get places of their own. An empty
 table gives an empty result.
 """
@@ -26,6 +26,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,10 +59,30 @@ def encoding(path: str) -> tiktoken.Encoding:
     )
 
 
+@cache
+def library(path: str, special: bool) -> tokenizers.Tokenizer:
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = not special
+    return tokenizer
+
+
+def text_ids(text: str, path: str, special: bool = True) -> np.ndarray:
+    """Ids of a text. ``special`` takes special tokens written out in it as such.
+
+    The pattern that cuts words has no room for runs of about a million spaces or
+    line breaks in tiktoken, which says so; such texts go to the tokenizers library.
+    """
+    allowed = {"allowed_special": "all"} if special else {"disallowed_special": ()}
+    try:
+        return encoding(path).encode_to_numpy(text, **allowed)
+    except ValueError:
+        ids = library(path, special).encode(text, add_special_tokens=False).ids
+        return np.array(ids, np.uint32)
+
+
 def token_ids(text: str | None, path: str, end: int = END) -> np.ndarray:
     """Little-endian 32-bit ids of a text and its end."""
-    ids = encoding(path).encode_to_numpy(text or "", allowed_special="all")
-    return np.append(ids, end).astype("<u4")
+    return np.append(text_ids(text or "", path), end).astype("<u4")
 
 
 # --- packing counts -------------------------------------------------------

@@ -123,3 +123,17 @@ def test_repeated_rows_have_places_of_their_own(spark):
     out = pack_documents(df, PATH, 8).toPandas()
     assert len(out) == 6
     assert len(set(zip(out.sequence_id, out.offset))) == 6
+
+
+@pytest.mark.parametrize(
+    "text", [" " * 2_000_000, "\n" * 2_000_000, "w" * 2_000_000, "!" * 2_000_000], ids=["spaces", "breaks", "word", "marks"]
+)
+def test_very_long_runs(spark, text):
+    """Some of them are more than tiktoken's pattern can take."""
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    out = pack_documents(docs, PATH).filter("doc_id = 1").toPandas().sort_values("piece")
+    ids = np.array(Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids + [2], "<u4")
+    assert out.length.sum() == len(ids)
+    assert list(out.ids_crc32) == [
+        zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(out.start, out.length)
+    ]
