@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from podium.llm.alignment import align_tokenizers
 from podium.llm.common import kept, remainder
 from podium.llm.context_tree import score_texts
 from podium.llm.language import fit_language_model, predict_language
@@ -117,6 +118,10 @@ def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_reassembly": op2_warc_reassembly,
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_piece_encoding": op11_piece_encoding,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 _WARC_SQL = """
