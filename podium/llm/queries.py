@@ -14,6 +14,7 @@ from podium.llm.context_tree import score_texts
 from podium.llm.language import fit_language_model, predict_language
 from podium.llm.mixing import KEY_BITS, mix_sources
 from podium.llm.nearest import nearest_neighbours
+from podium.llm.negatives import mine_negatives
 from podium.llm.ngram_join import jaccard_components
 from podium.llm.packing import pack_documents
 from podium.llm.pieces import decode_ids, encode_texts
@@ -122,6 +123,12 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_reassembly": op2_warc_reassembly,
@@ -135,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_piece_encoding": op11_piece_encoding,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WARC_SQL = """
@@ -214,9 +222,33 @@ with usable as (
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
 """
 
+_NEGATIVES_SQL = """
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same,
+        cast(list_dot_product(a.v, r.v) as bigint) as score
+    from usable a join usable r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over nearest as integer) as rank,
+    n.vec_id as negative_id, positive_score, n.score as negative_score
+from positives join scored n using (anchor_id)
+where not n.same and 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+window nearest as (partition by anchor_id, positive_id order by n.score desc, n.vec_id)
+qualify row_number() over nearest <= 3
+"""
+
 #: For the others SQL has no equal: tests hold them against brute force.
 SQL: dict[str, str] = {
     "op2_warc_reassembly": _WARC_SQL,
     "op9_source_mixing": _MIXING_SQL,
     "op10_nearest_neighbours": _NEAREST_SQL,
+    "op13_hard_negatives": _NEGATIVES_SQL,
 }
