@@ -8,9 +8,11 @@ boolean column.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -23,15 +25,23 @@ from podium.operators.ledger import (
     append_count,
     count_pairs,
     count_where,
+    create_ledger,
     is_fresh,
     recent_entry,
 )
-from podium.plans.enrichment import consume_topic, enrich_stream, publish_table
+from podium.plans.enrichment import (
+    consume_epochs,
+    consume_topic,
+    enrich_epochs,
+    enrich_stream,
+    last_epoch,
+    publish_table,
+)
 from podium.plans.medallion import BIO, RESULTS, bronze_to_silver, landing_to_bronze, run_medallion
 from podium.schemas import ENRICHED_AVG, with_names
 from podium.shared import working_dir
 from podium.sinks import write_layer, write_topic
-from podium.sources import read_topic
+from podium.sources import read_feed, read_topic
 from podium.streaming.fanout import latest_snapshot, to_table, to_topic
 
 try:
@@ -194,6 +204,102 @@ def enrich_stream_unwrapped(spark, sf_dir):
     return latest_snapshot(spark, table).drop("timestamp")
 
 
+def enrich_stream_epochs(spark, sf_dir):
+    """Each epoch a batch that reads the biographies anew; the sums so far in a table."""
+    table, checkpoint = working_dir(spark, "enriched"), working_dir(spark, "checkpoint")
+    feed, files = _published_results(spark, sf_dir)
+    enrich_epochs(
+        read_topic(spark, feed, fmt="text", max_per_trigger=files),
+        lambda: _bio(spark, sf_dir),
+        [to_table(table)],
+        checkpoint,
+        schema=_res(spark, sf_dir).schema,
+        available_now=True,
+    ).awaitTermination()
+    return latest_snapshot(spark, table).drop("timestamp")
+
+
+def fan_out_once(spark, sf_dir):
+    """A failure between two sinks in the last epoch, a restart, and no row sent twice.
+
+    Each group of the last epoch with the number of its messages there.
+    """
+    feed, files = _published_results(spark, sf_dir)
+    topic, table, checkpoint = (working_dir(spark, p) for p in ("topic", "table", "checkpoint"))
+    failures = []
+
+    def fails_once(batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id == 3 and not failures:
+            failures.append(epoch_id)
+            raise OSError("a failure between two sinks")
+
+    def run() -> None:
+        sink = to_topic(topic, fmt="text", epoch_column="epoch_id", log=f"{topic}/_epochs")
+        enrich_stream(
+            read_topic(spark, feed, fmt="text", max_per_trigger=files),
+            _bio(spark, sf_dir),
+            [sink, fails_once, to_table(table)],
+            checkpoint,
+            schema=_res(spark, sf_dir).schema,
+            available_now=True,
+        ).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        if not failures:
+            raise
+        run()
+    schema = StructType([*ENRICHED_AVG.fields, StructField("epoch_id", LongType())])
+    sent = decode_json(spark.read.text(topic), schema).filter("epoch_id = 3")
+    averages = [F.first(f"avg_{m}").alias(f"avg_{m}") for m in ("height", "weight")]
+    return sent.groupBy(*KEYS).agg(*averages, F.count("*").alias("copies"))
+
+
+def consume_last_epoch(spark, sf_dir):
+    """The last whole result of a topic that has one epoch twice and one broken off."""
+    topic, path = working_dir(spark, "topic"), working_dir(spark, "consumed")
+    sink = to_topic(topic, fmt="text", epoch_column="epoch_id", rows_column="epoch_rows")
+    _enriched(spark, sf_dir, [sink])
+    numbers = [StructField(n, LongType()) for n in ("epoch_id", "epoch_rows")]
+    sent = decode_json(spark.read.text(topic), StructType([*ENRICHED_AVG.fields, *numbers]))
+    last = kept_messages(sent.filter("epoch_id = 3"))
+    write_topic(encode_json(last), topic, fmt="text")
+    broken = last.withColumn("epoch_id", F.lit(4).cast("long")).filter("medal = 'Gold'")
+    write_topic(encode_json(broken), topic, fmt="text")
+    consume_epochs(
+        read_topic(spark, topic, fmt="text", max_per_trigger=3),
+        path,
+        working_dir(spark, "checkpoint"),
+    ).awaitTermination()
+    return last_epoch(spark, path).drop("timestamp")
+
+
+def kept_messages(messages: DataFrame) -> DataFrame:
+    """Messages written apart, so that they can be appended to where they were read."""
+    path = working_dir(messages.sparkSession, "messages")
+    messages.write.parquet(path)
+    return messages.sparkSession.read.schema(messages.schema).parquet(path)
+
+
+def stream_pinned_schema(spark, sf_dir):
+    """A feed of JSON without a schema: inferred once, and kept when wider files come."""
+    feed, path, checkpoint = (working_dir(spark, p) for p in ("feed", "rows", "checkpoint"))
+    res = _res(spark, sf_dir)
+
+    def run() -> None:
+        rows = read_feed(spark, feed, "json", checkpoint, max_per_trigger=2)
+        query = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start(path).awaitTermination()
+
+    res.filter("result_id % 2 = 0").repartition(4).write.json(feed)
+    run()
+    wider = res.filter("result_id % 2 = 1").withColumn("added", F.lit("later"))
+    wider.repartition(4).write.mode("append").json(feed)
+    run()
+    return spark.read.parquet(path).select(res.columns)
+
+
 def fan_out_snapshots(spark, sf_dir):
     """The last epoch of each sink, that of the topic read back from its messages."""
     topic, every, last = (working_dir(spark, p) for p in ("topic", "every", "last"))
@@ -344,6 +450,25 @@ def ledger_rotated(spark, sf_dir):
     )
 
 
+def ledger_default_time(spark, sf_dir):
+    """A ledger of the catalog, made twice; entries are inserted without a time."""
+    name, path = f"podium_ledger_{uuid.uuid4().hex}", working_dir(spark, "ledger")
+    create_ledger(spark, name, path)
+    create_ledger(spark, name, path)
+    counted = append_count(
+        count_pairs(_res(spark, sf_dir), "medal", ROTATED_PAIRS), table=name, path=path
+    )
+    if not is_fresh(spark.table(name)):
+        raise ValueError("the ledger is stale right after an entry")
+    spark.sql(f"drop table {name}")  # its files stay
+    return spark.read.parquet(path).select(
+        "medal_type",
+        "count",
+        F.col("created_at").isNotNull().alias("has_time"),
+        (F.col("created_at") >= F.lit(counted)).alias("timed_after_count"),
+    )
+
+
 def ledger_fresh(spark, sf_dir):
     """Events as ledger entries, with the time of the last as the clock."""
     entries = _table(spark, sf_dir, "events").select(F.col("ts").alias("created_at"))
@@ -369,7 +494,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_stream_shuffled": enrich_stream_shuffled,
         "enrich_stream_unfiltered": enrich_stream_unfiltered,
         "enrich_stream_unwrapped": enrich_stream_unwrapped,
+        "enrich_stream_epochs": enrich_stream_epochs,
         "fan_out_snapshots": fan_out_snapshots,
+        "fan_out_once": fan_out_once,
         "drop_missing": drop_missing_query,
         "silver_normalize": silver_normalize,
         "text_normalize": text_normalize,
@@ -383,9 +510,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_unwrap_lossy": json_unwrap_lossy,
         "publish_consume": publish_consume,
         "publish_consume_renamed": publish_consume_renamed,
+        "consume_last_epoch": consume_last_epoch,
+        "stream_pinned_schema": stream_pinned_schema,
         "medal_counts": medal_counts,
         "medal_count_gold": medal_count_gold,
         "ledger_rotated": ledger_rotated,
+        "ledger_default_time": ledger_default_time,
         "ledger_fresh": ledger_fresh,
     } | LLM_QUERIES
 
@@ -439,6 +569,10 @@ def oracle_sql() -> dict[str, str]:
         "enrich_stream_shuffled": views + enriched,
         "enrich_stream_unfiltered": gold,
         "enrich_stream_unwrapped": views + enriched,
+        "enrich_stream_epochs": views + enriched,
+        "fan_out_once": f"{views}, stats as ({enriched}) select *, 1 as copies from stats",
+        "consume_last_epoch": views + enriched,
+        "stream_pinned_schema": f"{views} select * from res",
         "fan_out_snapshots": (
             f"{views}, stats as ({enriched}) "
             "select *, 'topic' as snapshot from stats "
@@ -485,6 +619,12 @@ def oracle_sql() -> dict[str, str]:
             f"from res where medal = '{m}'"
             for label, m in ROTATED_PAIRS
         ),
+        "ledger_default_time": views
+        + " union all ".join(
+            f"select '{label}' as medal_type, count(*) as \"count\", true as has_time, "
+            f"true as timed_after_count from res where medal = '{m}'"
+            for label, m in ROTATED_PAIRS
+        ),
         "ledger_fresh": (
             "select 1 as fresh, ts as created_at from events "
             "where ts > (select max(ts) from events) - interval 30 second "

@@ -86,6 +86,63 @@ def avg_stats(
     digits, those after the point among them, is an error, and so are sums of
     more than 38.
     """
+    joined = _joined(
+        results, bio, country_from, drop_missing, join, broadcast_bytes, scale, static_dir
+    )
+    return joined.groupBy(*GROUP).agg(
+        *[_average(name, scale).alias(f"avg_{name}") for name in MEASURES],
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
+def sum_stats(
+    results: DataFrame,
+    bio: DataFrame,
+    country_from: str = "event",
+    drop_missing: bool = False,
+    join: str = "auto",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Sum and count of each measure by group, of batches; as ``avg_stats`` otherwise.
+
+    Those of several batches can be added up: ``add_sums``, and ``average_sums`` in the end.
+    """
+    joined = _joined(results, bio, country_from, drop_missing, join, broadcast_bytes)
+    return joined.groupBy(*GROUP).agg(
+        *[
+            F.sum(F.col("n") * F.col(f"{what}_{name}")).alias(f"{what}_{name}")
+            for name in MEASURES
+            for what in ("sum", "count")
+        ]
+    )
+
+
+def add_sums(sums: DataFrame) -> DataFrame:
+    """One row a group of sums that may have several."""
+    columns = [f"{what}_{name}" for name in MEASURES for what in ("sum", "count")]
+    return sums.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in columns])
+
+
+def average_sums(sums: DataFrame) -> DataFrame:
+    """What ``avg_stats`` gives, from sums with one row a group."""
+    return sums.select(
+        *GROUP,
+        *[F.try_divide(f"sum_{name}", f"count_{name}").alias(f"avg_{name}") for name in MEASURES],
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
+def _joined(
+    results: DataFrame,
+    bio: DataFrame,
+    country_from: str,
+    drop_missing: bool,
+    join: str,
+    broadcast_bytes: int,
+    scale: int | None = None,
+    static_dir: str | None = None,
+) -> DataFrame:
+    """Results, or counts ``n`` of equal ones, with their athlete's sums and counts."""
     if country_from not in ("event", "bio"):
         raise ValueError("country_from is 'event' or 'bio'")
     if join not in ("auto", "broadcast", "shuffle"):
@@ -110,16 +167,10 @@ def avg_stats(
         join = _measured_join(join, totals, broadcast_bytes)
 
     if join == "broadcast":
-        joined = _each_once(results).join(F.broadcast(totals), KEY)
-    elif results.isStreaming:
-        joined = _count_in_tasks(results).join(totals, KEY)
-    else:
-        joined = _join_hot_apart(results, totals, broadcast_bytes)
-
-    return joined.groupBy(*GROUP).agg(
-        *[_average(name, scale).alias(f"avg_{name}") for name in MEASURES],
-        F.current_timestamp().alias("timestamp"),
-    )
+        return _each_once(results).join(F.broadcast(totals), KEY)
+    if results.isStreaming:
+        return _count_in_tasks(results).join(totals, KEY)
+    return _join_hot_apart(results, totals, broadcast_bytes)
 
 
 def _named(df: DataFrame, *names: list[str]) -> DataFrame:

@@ -1,4 +1,11 @@
-from podium.plans.enrichment import consume_topic, enrich_stream, publish_table
+from podium.plans.enrichment import (
+    consume_epochs,
+    consume_topic,
+    enrich_epochs,
+    enrich_stream,
+    last_epoch,
+    publish_table,
+)
 from podium.plans.ledger import record_medal_count, record_medal_count_jdbc
 from podium.plans.medallion import (
     bronze_to_silver,
@@ -9,9 +16,12 @@ from podium.plans.medallion import (
 
 __all__ = [
     "bronze_to_silver",
+    "consume_epochs",
     "consume_topic",
+    "enrich_epochs",
     "enrich_stream",
     "landing_to_bronze",
+    "last_epoch",
     "publish_table",
     "record_medal_count",
     "record_medal_count_jdbc",

@@ -13,12 +13,13 @@ def record_medal_count(
     pairs: Sequence[tuple[str, str]],
     path: str | None = None,
     jdbc: dict[str, str] | None = None,
+    table: str | None = None,
 ) -> bool:
     """Append one entry per (label, medal) and check that the ledger is fresh.
 
-    The ledger is Parquet at ``path`` or a database table.
+    The ledger is a ``table`` of the catalog, Parquet at ``path`` or a database table.
     """
-    return _recorded(count_pairs(results, "medal", pairs), path, jdbc)
+    return _recorded(count_pairs(results, "medal", pairs), path, jdbc, table)
 
 
 def record_medal_count_jdbc(
@@ -34,9 +35,16 @@ def record_medal_count_jdbc(
     return _recorded(count_pairs_jdbc(spark, "medal", pairs, **results), None, ledger)
 
 
-def _recorded(counts: DataFrame, path: str | None, jdbc: dict[str, str] | None) -> bool:
+def _recorded(
+    counts: DataFrame,
+    path: str | None,
+    jdbc: dict[str, str] | None,
+    table: str | None = None,
+) -> bool:
     spark = counts.sparkSession
-    append_count(counts, path, jdbc)
+    append_count(counts, path, jdbc, table)
+    if table is not None:
+        return is_fresh(spark.table(table))
     if jdbc is not None:
         return is_fresh(read_jdbc(spark, **jdbc, partition_column=None))
     return is_fresh(spark.read.parquet(path))

@@ -39,8 +39,12 @@ LEDGER = T.StructType(
     ]
 )
 
-# Fixed value: width of the ledger's label column in a database.
+# Width of the ledger's label column in a database, and the columns of a
+# ledger in the catalog with what fills in the time.
 LEDGER_COLUMN_TYPES = "medal_type VARCHAR(10)"
+LEDGER_DDL = (
+    "medal_type VARCHAR(10), count BIGINT, created_at TIMESTAMP DEFAULT current_timestamp()"
+)
 
 
 def with_names(schema: T.StructType, renames: dict[str, str]) -> T.StructType:

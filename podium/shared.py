@@ -40,3 +40,51 @@ def checkpoint_for(spark: SparkSession, given: str | None, purpose: str) -> str
 def working_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name for one run; the writer makes the folder."""
     return f"{shared_root(spark)}/podium/{purpose}-{uuid.uuid4().hex}"
+
+
+class Folder:
+    """A folder of any store, as Hadoop sees it; names are relative to it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._jvm = spark._jvm
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._files = self._at("").getFileSystem(conf)
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def exists(self, name: str = "") -> bool:
+        return self._files.exists(self._at(name))
+
+    def names(self, name: str = "") -> list[str]:
+        """What lies in it, in order; nothing if it is not there."""
+        if not self.exists(name):
+            return []
+        return sorted(f.getPath().getName() for f in self._files.listStatus(self._at(name)))
+
+    def read(self, name: str) -> str:
+        stream = self._files.open(self._at(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str = "") -> None:
+        """A small file, there as a whole or not at all; replaces one of the name."""
+        *parents, last = name.split("/")
+        hidden = "/".join([*parents, f"_{last}.{uuid.uuid4().hex}"])
+        stream = self._files.create(self._at(hidden), True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+        self.delete(name)
+        self.move(hidden, name)
+
+    def move(self, name: str, to: str) -> None:
+        if not self._files.rename(self._at(name), self._at(to)):
+            raise OSError(f"{self.path}: {name} cannot be moved to {to}")
+
+    def delete(self, name: str) -> None:
+        self._files.delete(self._at(name), True)

@@ -1,4 +1,5 @@
 from podium.streaming.console import to_console, write_console
+from podium.streaming.epochs import EpochLog, once, query_id
 from podium.streaming.fanout import (
     fan_out,
     latest_snapshot,
@@ -6,10 +7,18 @@ from podium.streaming.fanout import (
     to_table,
     to_topic,
 )
+from podium.streaming.stop import Stop, Stopped
+from podium.streaming.watch import FeedWatch
 
 __all__ = [
+    "EpochLog",
+    "FeedWatch",
+    "Stop",
+    "Stopped",
     "fan_out",
     "latest_snapshot",
+    "once",
+    "query_id",
     "to_console",
     "to_jdbc",
     "to_table",

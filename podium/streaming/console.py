@@ -40,15 +40,18 @@ def write_console(
     rows: int = CONSOLE_ROWS,
     truncate: bool = False,
     checkpoint: str | None = None,
+    stop=None,
 ) -> StreamingQuery:
     """Start a query that prints each micro-batch.
 
     ``available_now`` stops it when it has caught up; otherwise it goes on as
     fast as it can. Without ``checkpoint`` it is in the folder that the session
-    names for checkpoints, or a new one in the shared folder.
+    names for checkpoints, or a new one in the shared folder. ``stop`` (a ``Stop``) ends
+    it between two epochs.
     """
+    sink = to_console(rows, truncate, stateful=output_mode != "append")
     writer = df.writeStream.outputMode(output_mode).foreachBatch(
-        to_console(rows, truncate, stateful=output_mode != "append")
+        sink if stop is None else stop.gate(sink)
     )
     checkpoint = checkpoint_for(df.sparkSession, checkpoint, "console")
     if checkpoint is not None:
