@@ -47,7 +47,9 @@ def read_topic(
     ``max_per_trigger`` bounds a micro-batch: messages of a broker, files of a
     directory. ``topic`` is the directory for file formats. Further options go
     to Spark's reader, such as ``minPartitions`` to split a large topic
-    partition among tasks.
+    partition among tasks. Without ``fail_on_data_loss`` a stream goes on when messages
+    are gone before it has read them; Spark does so for files in any case, and
+    ``FeedWatch`` counts them or stops the query.
     """
     if fmt == "kafka":
         options = {

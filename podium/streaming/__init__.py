@@ -8,9 +8,10 @@ from podium.streaming.fanout import (
     to_topic,
 )
 from podium.streaming.stop import Stop, Stopped
-from podium.streaming.watch import FeedWatch
+from podium.streaming.watch import DataLoss, FeedWatch
 
 __all__ = [
+    "DataLoss",
     "EpochLog",
     "FeedWatch",
     "Stop",

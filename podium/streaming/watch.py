@@ -1,5 +1,6 @@
 """What a stream has read, and what was gone before it could be read."""
 
+import ast
 import json
 import threading
 
@@ -10,6 +11,10 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from podium.shared import Folder
 
 
+class DataLoss(Exception):
+    """Files of a feed were gone before they were read."""
+
+
 class FeedWatch(StreamingQueryListener):
     """Counts, over the epochs of one query, messages read and lost.
 
@@ -19,11 +24,22 @@ class FeedWatch(StreamingQueryListener):
     to read and that are gone when it ends; what they held is not known. ``checkpoint`` is
     where their names are; a directory needs it.
 
+    Spark reads on when a directory's file is gone, whatever it is told. With
+    ``fail_on_data_loss`` the query is stopped after such an epoch, and leaving the block
+    is an error. A broker's topic has that from Spark (``read_topic``).
+
     >>> with FeedWatch(spark, query, checkpoint) as watch: query.awaitTermination()
     """
 
-    def __init__(self, spark: SparkSession, query: StreamingQuery, checkpoint: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        query: StreamingQuery,
+        checkpoint: str | None = None,
+        fail_on_data_loss: bool = False,
+    ):
         self._spark, self._id, self._checkpoint = spark, str(query.id), checkpoint
+        self._fail = fail_on_data_loss
         self._query = query
         self._seen: set[int] = set()
         self._lock = threading.Lock()
@@ -34,11 +50,13 @@ class FeedWatch(StreamingQueryListener):
         self._spark.streams.addListener(self)
         return self
 
-    def __exit__(self, *_: object) -> None:
+    def __exit__(self, kind: type | None, *_: object) -> None:
         """Epochs whose report is still on its way are taken from the query itself."""
         self._spark.streams.removeListener(self)
         for progress in self._query.recentProgress:
             self.add(progress)
+        if self._fail and self.missing and kind is None:
+            raise DataLoss(f"{len(self.missing)} files were gone, the first {self.missing[0]}")
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -52,6 +70,8 @@ class FeedWatch(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         if str(event.progress.id) == self._id:
             self.add(event.progress)
+            if self._fail and self.missing:
+                self._query.stop()
 
     def add(self, progress) -> None:
         """Count an epoch, once."""
@@ -93,10 +113,14 @@ class FeedWatch(StreamingQueryListener):
         return Folder(self._spark, folder).exists(name)
 
 
-def _offsets(value) -> dict:
+def _offsets(value: str | None) -> dict:
+    """Offsets as a listener gets them, in JSON, or as a query's progress has them in Python."""
     if not value or value == "None":
         return {}
-    found = json.loads(value) if isinstance(value, str) else value
+    try:
+        found = json.loads(value)
+    except ValueError:
+        found = ast.literal_eval(value)
     return found if isinstance(found, dict) else {}
 
 

@@ -4,15 +4,21 @@ Neither a database nor a broker runs here: the options are checked, and the
 order of calls, on a stand-in for the reader and the writer.
 """
 
+import datetime as dt
+from decimal import Decimal
 from unittest.mock import MagicMock
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from podium.operators.ledger import append_count, count_pairs_jdbc
 from podium.sinks import write_jdbc, write_topic
+from podium.plans import enrich_epochs
 from podium.sources import jdbc_options, read_jdbc, read_topic, topic_options
-from podium.streaming import to_jdbc, to_topic
+from podium.sources.jdbc import equal_count_ranges, literal
+from podium.streaming import latest_snapshot, to_jdbc, to_table, to_topic
+from tests.test_streaming import publish, rows
 
 ACCESS = {"url": "jdbc:db://host/x", "table": "t", "driver": "D", "user": "u", "password": "p"}
 
@@ -123,7 +129,10 @@ def test_the_database_counts(spark, monkeypatch):
     got = count_pairs_jdbc(spark, "medal", [("Bronze", "Gold"), ("x", "Tin")], **ACCESS)
     assert sorted(map(tuple, got.collect())) == [("Bronze", 5), ("x", 0)]
     (access,) = asked
-    assert access["table"] == "(select medal as v, count(*) as n from t group by medal) counts"
+    assert access["table"] == (
+        "(select medal as v, count(*) as n from t "
+        "where medal in ('Gold', 'Tin') group by medal) counts"
+    )
     assert access["partition_column"] is None and access["url"] == ACCESS["url"]
 
 
@@ -178,3 +187,161 @@ def test_publish_to_a_broker(spark, monkeypatch):
     secure = {"kafka.security.protocol": "SSL"}
     to_topic("avg", ["a:1"], **secure)(spark.range(1), 0)
     assert seen == [(["key", "value"], ("avg", ["a:1"], "kafka"), secure)]
+
+
+# --- ranges of equally many rows ------------------------------------------
+
+
+def answering(con, cores=8):
+    """A session whose database is a connection of this process: tables are queries to it."""
+    spark, calls = MagicMock(), []
+    spark.sparkContext.defaultParallelism = cores
+
+    class Row(dict):
+        def __getitem__(self, key):
+            return list(self.values())[key] if isinstance(key, int) else super().__getitem__(key)
+
+    def options(**given):
+        calls.append(given)
+
+        def rows_of():
+            got = con.sql(f"select * from {given['dbtable']}")
+            return [Row(zip(got.columns, r)) for r in got.fetchall()]
+
+        reader = MagicMock()
+        reader.load.return_value.collect.side_effect = rows_of
+        reader.load.return_value.first.side_effect = lambda: rows_of()[0]
+        return reader
+
+    spark.read.format.return_value.options.side_effect = options
+    return spark, calls
+
+
+def parts(con, ranges, table="t"):
+    """Rows of each range; and whether each row is in exactly one."""
+    counts = [con.sql(f"select count(*) from {table} where {r}").fetchall()[0][0] for r in ranges]
+    met = " + ".join(f"coalesce(({r})::int, 0)" for r in ranges)
+    assert con.sql(f"select count(*) from {table} where {met} <> 1").fetchall()[0][0] == 0
+    return counts
+
+
+KEYS = {
+    "cubes": "select i * i * i as k from range(1, 4001) r(i)",
+    "one far": "select case when i = 0 then 10000000000 else i end as k from range(4000) r(i)",
+    "below zero": "select i - 3900 as k from range(4000) r(i)",
+    "with nulls": "select case when i % 40 = 0 then null else i * i end as k from range(4000) r(i)",
+    "decimals": "select (i * i / 7)::decimal(18, 4) as k from range(4000) r(i)",
+    "dates": "select date '2000-01-01' + (i // 3)::int as k from range(4000) r(i)",
+    "texts": "select 'it''s ' || (i * i)::varchar as k from range(4000) r(i)",
+}
+
+
+@pytest.mark.parametrize("keys", KEYS)
+def test_no_range_is_twice_the_mean(keys):
+    con = duckdb.connect()
+    con.sql(f"create table t as {KEYS[keys]}")
+    spark, _ = answering(con)
+    ranges = equal_count_ranges(spark, jdbc_options("u", "t"), "k", 10)
+    counts = parts(con, ranges)
+    assert sum(counts) == 4000 and len(counts) == 10 and max(counts) < 2 * 400
+
+
+def test_ranges_of_equal_width_would_be_uneven():
+    """The reason: of cubes, equal widths put nearly half into the first tenth."""
+    con = duckdb.connect()
+    con.sql(f"create table t as {KEYS['cubes']}")
+    width = con.sql("select max(k) / 10 from t").fetchall()[0][0]
+    assert con.sql(f"select count(*) from t where k <= {width}").fetchall()[0][0] > 4 * 400
+
+
+@pytest.mark.parametrize("keys", ["select 7 as k from range(100)", "select null::int as k from range(5)"])
+def test_keys_that_cannot_be_parted_are_read_in_one_go(keys):
+    con = duckdb.connect()
+    con.sql(f"create table t as {keys}")
+    spark, calls = answering(con)
+    read_jdbc(spark, **ACCESS, partition_column="k", equal_counts=True)
+    spark.read.jdbc.assert_not_called()
+    assert "partitionColumn" not in calls[-1] and calls[-1]["dbtable"] == "t"
+
+
+def test_a_hot_key_has_a_range_of_its_own():
+    con = duckdb.connect()
+    con.sql("create table t as select case when i % 3 = 0 then 500 else i end as k from range(3000) r(i)")
+    spark, _ = answering(con)
+    counts = parts(con, equal_count_ranges(spark, jdbc_options("u", "t"), "k", 10))
+    assert max(counts) < 1000 + 300 and sorted(counts)[-2] < 2 * 300
+
+
+def test_ranges_are_given_to_the_reader():
+    con = duckdb.connect()
+    con.sql("create table t as select i as k from range(8) r(i)")
+    spark, calls = answering(con)
+    read_jdbc(spark, **ACCESS, partition_column="k", num_partitions=4, equal_counts=True)
+    (_, args, kwargs) = spark.read.jdbc.mock_calls[0]
+    assert args == ("jdbc:db://host/x", "t")
+    assert kwargs["predicates"] == ["k <= 1 or k is null", "k > 1 and k <= 3", "k > 3 and k <= 5", "k > 5"]
+    assert kwargs["properties"] == {"driver": "D", "user": "u", "password": "p", "fetchsize": "10000"}
+    assert len(calls) == 1 and calls[0]["user"] == "u"
+    with pytest.raises(ValueError, match="equal width"):
+        read_jdbc(spark, **ACCESS, bounds=(1, 2), equal_counts=True)
+
+
+def test_keys_as_sql():
+    given = [3, -2.5, Decimal("1.50"), "it's", dt.date(2020, 1, 2), True]
+    assert [literal(v) for v in given] == ["3", "-2.5", "1.50", "'it''s'", "'2020-01-02'", "'True'"]
+
+
+@pytest.mark.parametrize("equal_counts", [True, False])
+def test_keys_that_come_later_have_ranges_of_their_own(spark, tmp_path, equal_counts):
+    """The biographies of a stream are read anew in each epoch, in ranges of that time."""
+    con = duckdb.connect()
+    con.sql("create table t as select i as athlete_id from range(1, 11) r(i)")
+    stand, calls = answering(con, cores=4)
+    feed, table, spread = str(tmp_path / "feed"), str(tmp_path / "table"), []
+    publish(spark, feed, (0, 40), (40, 80))
+
+    def read_bio():
+        read_jdbc(stand, **ACCESS, equal_counts=equal_counts)
+        if equal_counts:
+            ranges = stand.read.jdbc.mock_calls[-1].kwargs["predicates"]
+        else:
+            lo, hi = int(calls[-1]["lowerBound"]), int(calls[-1]["upperBound"])
+            step = (hi - lo) / 4
+            ends = [lo + step * i for i in range(1, 4)]
+            ranges = [f"athlete_id < {ends[0]}", f"athlete_id >= {ends[0]} and athlete_id < {ends[1]}",
+                      f"athlete_id >= {ends[1]} and athlete_id < {ends[2]}", f"athlete_id >= {ends[2]}"]
+        later = [con.sql(f"select count(*) from t where ({r}) and athlete_id > 10").fetchall()[0][0] for r in ranges]
+        spread.append(later)
+        ids = [r[0] for r in con.sql("select athlete_id from t").fetchall()]
+        if len(spread) == 1:  # while the stream runs
+            con.sql("insert into t select i from range(11, 101) r(i)")
+        kinds = "athlete_id int, sex string, country_noc string, height double, weight double"
+        return spark.createDataFrame([(i, "M", "X", 150.0 + i, 50.0) for i in ids], kinds)
+
+    enrich_epochs(
+        read_topic(spark, feed, fmt="text", max_per_trigger=1),
+        read_bio,
+        [to_table(table)],
+        str(tmp_path / "c"),
+        available_now=True,
+    ).awaitTermination()
+    first, second = spread
+    assert sum(first) == 0
+    assert sum(second) == 90 and sum(n > 0 for n in second) >= 3 and max(second) < 90 / 2
+    assert rows(latest_snapshot(spark, table))
+
+
+def test_the_count_asks_for_its_values_only(spark, monkeypatch):
+    con = duckdb.connect()
+    con.sql("create table t as select 'm' || (i % 500) as medal from range(5000) r(i)")
+    got = []
+
+    def read(session, **access):
+        found = con.sql(f"select * from {access['table']}").fetchall()
+        got.append(found)
+        return session.createDataFrame(found, "v string, n long")
+
+    monkeypatch.setattr("podium.operators.ledger.read_jdbc", read)
+    pairs = [("a", "m1"), ("b", "m2"), ("c", "it's"), ("d", "m1")]
+    counts = {r.medal_type: r["count"] for r in count_pairs_jdbc(spark, "medal", pairs, **ACCESS).collect()}
+    assert counts == {"a": 10, "b": 10, "c": 0, "d": 10} and len(got[0]) == 2

@@ -124,3 +124,74 @@ def test_cluster_without_a_shared_folder_is_refused():
         shared_root(Session(spark_master="spark://host:7077"))
     assert shared_root(Session(spark_master="local[2]"))
     assert shared_root(Session(spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+
+
+# --- a check of what was written, by content ------------------------------
+
+VALUES = "id long, name string, x double, m map<string,int>, a array<int>"
+ROWS = [
+    (1, "a", 1.5, {"k": 1, "l": 2}, [1, None]),
+    (1, "a", 1.5, {"l": 2, "k": 1}, [1, None]),
+    (2, None, float("nan"), None, None),
+    (3, "", None, {}, []),
+]
+
+
+def spoilt(spark, change):
+    """``read_layer`` of files in which something was changed after they were written."""
+
+    def read(session, root, layer, table):
+        path = f"{root}/{layer}/{table}"
+        kept = spark.createDataFrame(spark.read.parquet(path).collect(), VALUES)
+        change(kept).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return read
+
+
+CHANGES = {
+    "a value": lambda df: df.replace("a", "b", "name"),
+    "a value to null": lambda df: df.replace({"": None}, subset="name"),
+    "null to a value": lambda df: df.fillna({"name": ""}),
+    "two values swapped": lambda df: df.selectExpr(
+        "case id when 1 then 3 when 3 then 1 else id end as id", "name", "x", "m", "a"),
+    "a row for another": lambda df: df.filter("id < 3").union(df.filter("id = 2")),
+}
+
+
+@pytest.mark.parametrize("change", CHANGES)
+def test_a_changed_value_is_found(spark, tmp_path, monkeypatch, change):
+    df = spark.createDataFrame(ROWS, VALUES)
+    monkeypatch.setattr(files, "read_layer", spoilt(spark, CHANGES[change]))
+    # The number of rows is right all the same.
+    write_layer(df, str(tmp_path), "bronze", "t", verify=True)
+    with pytest.raises(ValueError, match="values differ"):
+        write_layer(df, str(tmp_path), "bronze", "t", verify="content")
+
+
+def test_a_check_by_content_passes_in_any_order(spark, tmp_path):
+    df = spark.createDataFrame(ROWS * 50, VALUES).repartition(7)
+    assert write_layer(df, str(tmp_path), "bronze", "t", verify="content").count() == 200
+    one, other = (d.agg(files.checksum(d)).first()[0] for d in (df, df.orderBy("id").coalesce(1)))
+    assert one == other
+    assert df.limit(0).agg(files.checksum(df)).first()[0] == 0
+    odd = spark.createDataFrame([(1, 2)], "`a.b` int, `c``d` int")
+    assert write_layer(odd, str(tmp_path), "bronze", "odd", verify="content").count() == 1
+
+
+def test_one_scan_more_only_if_asked(spark, tmp_path, monkeypatch):
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            ran.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(10).mapInArrow(count, "id long")
+    write_layer(df, str(tmp_path), "bronze", "t", verify="content")
+    assert ran.value == 10  # what is written is computed once
+
+
+def test_unknown_check_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="verify"):
+        write_layer(spark.range(1), str(tmp_path), "bronze", "t", verify="all")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from podium.operators.ledger import (
     append_count,
     count_pairs,
     count_where,
+    create_ledger,
     is_fresh,
     recent_entry,
 )
@@ -110,3 +112,70 @@ def test_latest_row_is_chosen_without_a_full_sort(spark):
     ledger, now = ledger_aged(spark, 1, 2)
     plan = recent_entry(ledger, 30, now)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+# --- a ledger of the catalog ----------------------------------------------
+
+
+@pytest.fixture
+def name(spark):
+    name = f"ledger_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"drop table if exists {name}")
+
+
+def test_the_table_puts_in_the_time(spark, tmp_path, name, results):
+    path = str(tmp_path / "ledger")
+    create_ledger(spark, name, path)
+    create_ledger(spark, name, path)
+    before = dt.datetime.now(dt.UTC)
+    counted = append_count(count_pairs(results, "medal", ROTATED_PAIRS), table=name)
+    entries = spark.table(name)
+    assert entries.columns == ["medal_type", "count", "created_at"]
+    after = entries.filter(F.col("created_at") >= F.lit(counted))
+    assert after.count() == 3 and counted >= before
+    assert sorted((r.medal_type, r["count"]) for r in entries.collect()) == sorted(
+        (r.medal_type, r["count"]) for r in count_pairs(results, "medal", ROTATED_PAIRS).collect()
+    )
+    assert is_fresh(entries, 600)
+
+
+def test_each_insert_has_a_time_of_its_own(spark, tmp_path, name):
+    counts = spark.createDataFrame([("x", 1)], "medal_type string, count long")
+    for _ in range(2):
+        append_count(counts, table=name, path=str(tmp_path / "ledger"))
+    times = [r[0] for r in spark.table(name).select("created_at").collect()]
+    assert len(times) == 2 and None not in times and times[0] != times[1]
+
+
+def test_a_ledger_over_files_has_their_rows(spark, tmp_path, name):
+    path, other = str(tmp_path / "ledger"), f"{name}_2"
+    append_count(spark.createDataFrame([("x", 1)], "medal_type string, count long"), path)
+    create_ledger(spark, name, path)
+    assert spark.table(name).first()["count"] == 1
+    spark.sql(f"drop table {name}")
+    create_ledger(spark, other, path)
+    assert spark.table(other).first()["count"] == 1
+    spark.sql(f"drop table {other}")
+
+
+def test_labels_have_a_greatest_width(spark, tmp_path, name):
+    long = spark.createDataFrame([("x" * 11, 1)], "medal_type string, count long")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        append_count(long, table=name, path=str(tmp_path / "ledger"))
+
+
+@pytest.mark.parametrize(
+    "columns",
+    ["medal_type string", "medal_type string, count bigint, created_at timestamp", "a int, created_at timestamp default current_timestamp()"],
+)
+def test_another_table_of_the_name_is_refused(spark, tmp_path, name, columns):
+    spark.sql(f"create table {name} ({columns}) using parquet location '{tmp_path / 'other'}'")
+    with pytest.raises(ValueError, match="not a ledger"):
+        create_ledger(spark, name)
+
+
+def test_recorded_in_the_catalog(spark, tmp_path, name, results):
+    create_ledger(spark, name, str(tmp_path / "ledger"))
+    assert record_medal_count(results, ROTATED_PAIRS, table=name)
+    assert spark.table(name).count() == 3
