@@ -49,7 +49,7 @@ def op2_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_dir(spark, "archives")
     write_archives(_table(spark, sf_dir, "pages"), path)
     whole = reassemble(read_segments(spark, path)).select(
-        F.substring_index("uri", ":", -1).cast("long").alias("page_id"),
+        F.substring_index("uri", ":", -1).try_cast("long").alias("page_id"),
         "record_id",
         F.col("kind").alias("record_type"),
         F.col("digest").alias("payload_digest"),
