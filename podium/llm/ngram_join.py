@@ -239,10 +239,22 @@ def linked_components(
 # --- tables ---------------------------------------------------------------
 
 
-def _id() -> Column:
-    """The id of a document, or a number from its text."""
+def _number_rows(docs: DataFrame) -> tuple[Column, Column | None]:
+    """The id of a row, or a number from its text; and which numbers are ids.
+
+    The numbers follow all ids, unless there are ids from ``NAMELESS`` on beside rows
+    without id. Then they are any hashes, and nothing tells them from ids.
+    """
+    own = F.col("doc_id").cast("long")
+    seen = docs.agg(
+        F.count_if(own.isNull()).alias("nameless"), F.max(own).alias("last")
+    ).first()
+    if not seen["nameless"]:
+        return own, F.lit(True)
+    if seen["last"] is not None and seen["last"] >= NAMELESS:
+        return F.coalesce(own, F.xxhash64("text")), None
     nameless = F.xxhash64("text").bitwiseAND(F.lit(NAMELESS - 1)) + F.lit(NAMELESS)
-    return F.coalesce(F.col("doc_id").cast("long"), nameless)
+    return F.coalesce(own, nameless), F.col("root") < NAMELESS
 
 
 def _class_of(shingles: np.ndarray) -> tuple[int | None, int | None]:
@@ -261,7 +273,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _classed(texts: DataFrame, width: int) -> DataFrame:
-    """``id``, the size ``n`` of the set, and its class ``high``, ``low``."""
+    """``id``, ``named``, the size ``n`` of the set, and its class ``high``, ``low``."""
 
     def classed(batches):
         for batch in in_parts(batches):
@@ -269,11 +281,11 @@ def _classed(texts: DataFrame, width: int) -> DataFrame:
             high, low = zip(*map(_class_of, sets)) if sets else ([], [])
             columns = ([len(s) for s in sets], high, low)
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], *(pa.array(c, pa.int64()) for c in columns)],
-                names=["id", "n", "high", "low"],
+                [batch["id"], batch["named"], *(pa.array(c, pa.int64()) for c in columns)],
+                names=["id", "named", "n", "high", "low"],
             )
 
-    return texts.mapInArrow(classed, "id long, n long, high long, low long")
+    return texts.mapInArrow(classed, "id long, named boolean, n long, high long, low long")
 
 
 def _tokens(texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -493,10 +505,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _components_by_row(
-    docs: DataFrame, width: int, percent: int, tile: int, tile_shingles: int, filter_bits: int
+    docs: DataFrame,
+    number: Column,
+    width: int,
+    percent: int,
+    tile: int,
+    tile_shingles: int,
+    filter_bits: int,
 ) -> DataFrame:
-    """``id``, ``n`` and the ``root`` of its component, of each row."""
-    texts = docs.select(_id().alias("id"), "text")
+    """``id``, ``named``, ``n`` and the ``root`` of its component, of each row."""
+    texts = docs.select(
+        number.alias("id"), "text", F.col("doc_id").isNotNull().alias("named")
+    )
     classed = kept(_classed(texts, width), "classes")
     tokens = _tokens(texts, width, percent)
     survivors = kept(_survivors(classed, tokens, percent), "survivors")
@@ -511,7 +531,7 @@ def _components_by_row(
         .select("high", "low", F.coalesce("root", "first").alias("root"))
     )
     return classed.join(first, ["high", "low"], "left").select(
-        "id", "n", F.coalesce("root", "id").alias("root")
+        "id", "named", "n", F.coalesce("root", "id").alias("root")
     )
 
 
@@ -531,12 +551,15 @@ def jaccard_components(
     ``tile_shingles`` in all, meet in one task at most; ``filter_bits`` (a power of two)
     is the size of the table that tells which texts are read again.
     """
-    rows = _components_by_row(docs, width, percent, tile, tile_shingles, filter_bits)
-    return rows.select(
-        F.when(F.col("id") < NAMELESS, F.col("id")).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("root") < NAMELESS, F.col("root")).alias("component_id"),
-    )
+    number, is_id = _number_rows(docs)
+    rows = _components_by_row(docs, number, width, percent, tile, tile_shingles, filter_bits)
+    if is_id is None:
+        least = rows.filter("named").groupBy("root").agg(F.min("id").alias("component_id"))
+        rows = rows.join(least, "root", "left")
+    else:
+        rows = rows.withColumn("component_id", F.when(is_id, F.col("root")))
+    own = F.when(F.col("named"), F.col("id")).alias("doc_id")
+    return rows.select(own, F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(
@@ -553,11 +576,12 @@ def drop_near_copies(
     Rows without shingles link with nothing and all stay. Columns are those of
     ``docs``.
     """
-    rows = _components_by_row(docs, width, percent, tile, tile_shingles, filter_bits)
+    number, _ = _number_rows(docs)
+    rows = _components_by_row(docs, number, width, percent, tile, tile_shingles, filter_bits)
     gone = rows.filter("n > 0 and id <> root").select(F.col("id").alias("_podium_gone")).distinct()
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     left = docs.withColumns(
-        {"_podium_id": _id(), "_podium_blank": blank}
+        {"_podium_id": number, "_podium_blank": blank}
     ).join(gone, F.col("_podium_id") == F.col("_podium_gone"), "left_anti")
     # Only repeated ids come to more than one row.
     nth = F.row_number().over(Window.partitionBy("_podium_id", "_podium_blank").orderBy("text"))
