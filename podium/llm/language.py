@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import in_parts
+from podium.llm.common import in_parts, kept
 
 WINDOW = 128
 UNDETERMINED = "und"
@@ -256,6 +256,26 @@ def train(
     return LanguageModel(languages, hidden, forward, backward, out)
 
 
+def least_of_each_language(ids: DataFrame, sample: int) -> DataFrame:
+    """The ``sample`` rows of least hash of each language; ``ids`` are distinct.
+
+    Hashes are spread evenly, so those of least hash lie below a bound that the language's
+    number of rows gives: about twice the sample is left to be sorted, and not the language.
+    The counts are as many as the languages, of which the model holds weights for each.
+    """
+    hashed = F.xxhash64("doc_id", "lang")
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.lit(2.0 * sample + 100) / F.col("n")
+    by_hash = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    return (
+        ids.join(F.broadcast(counts), "lang")
+        .filter(hashed.cast("double") <= share * 2.0**64 - 2.0**63)
+        .withColumn("rank", F.row_number().over(by_hash))
+        .filter(F.col("rank") <= sample)
+        .select("doc_id", "lang")
+    )
+
+
 def fit_language_model(
     docs: DataFrame, *, sample: int = 4_000, windows: int = 8, **training
 ) -> LanguageModel | None:
@@ -269,15 +289,10 @@ def fit_language_model(
     labelled = docs.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("doc_id", "text", "lang")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
-    chosen = (
-        labelled.filter("doc_id is not null")
-        .select("doc_id", "lang")
-        .distinct()
-        .withColumn("rank", F.row_number().over(by_hash))
-        .filter(F.col("rank") <= sample)
-        .drop("rank")
+    ids = kept(
+        labelled.filter("doc_id is not null").select("doc_id", "lang").distinct(), "labelled"
     )
+    chosen = least_of_each_language(ids, sample)
 
     def sampled(batches):
         for batch in in_parts(batches):
