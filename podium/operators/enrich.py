@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from podium.operators.clean import as_measure, field, quoted
 from podium.operators.clean import drop_missing as only_measured
-from podium.shared import working_dir
+from podium.shared import removed_at_exit, working_dir
 
 KEY = "athlete_id"
 GROUP = ["sport", "medal", "sex", "country_noc"]
@@ -241,7 +241,8 @@ def _join_hot_apart(results: DataFrame, totals: DataFrame, limit: int) -> DataFr
     """Join by shuffling; rows of hot athletes stay in place and meet their sums there.
 
     The sums are written first, since both joins read them and the broadcast has to
-    be measured. Hot sums beyond ``limit`` bytes go the way of all others.
+    be measured; they are removed when the program ends. Hot sums beyond ``limit`` bytes
+    go the way of all others.
     """
     spark = results.sparkSession
     share = hot_share(int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -249,6 +250,7 @@ def _join_hot_apart(results: DataFrame, totals: DataFrame, limit: int) -> DataFr
     if not hot:
         return _each_once(results).join(totals, KEY)
     path = working_dir(spark, "totals")
+    removed_at_exit(spark, path)
     totals.write.parquet(path)
     totals = spark.read.schema(totals.schema).parquet(path)
     is_hot = F.col(KEY).isin(hot)
@@ -334,12 +336,14 @@ def _bucketed(totals: DataFrame, path: str) -> DataFrame:
     """The totals as a table in buckets sorted by athlete, in place of any at ``path``.
 
     As many buckets as the stream has shuffle partitions, so a join by athlete finds
-    this side dealt and sorted.
+    this side dealt and sorted. Table and files go when the program ends: a stream that
+    is started again makes its own.
     """
     spark = totals.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"podium_totals_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
     spark.sql(f"drop table if exists {name}")
+    removed_at_exit(spark, path, name)
     (
         totals.repartition(buckets, KEY)
         .write.mode("overwrite")

@@ -1,9 +1,11 @@
 """Working folders that every executor can reach."""
 
+import atexit
 import re
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -88,3 +90,20 @@ class Folder:
 
     def delete(self, name: str) -> None:
         self._files.delete(self._at(name), True)
+
+
+def removed_at_exit(spark: SparkSession, path: str, table: str | None = None) -> None:
+    """Remove what only this program's results read, once it ends.
+
+    ``path`` is a folder and ``table`` a name of the catalog. Nothing happens if the
+    session was stopped before.
+    """
+    atexit.register(remove, spark, path, table)
+
+
+def remove(spark: SparkSession, path: str, table: str | None = None) -> None:
+    if SparkContext._active_spark_context is None:
+        return
+    if table is not None:
+        spark.sql(f"drop table if exists {table}")
+    Folder(spark, path).delete("")
