@@ -4,18 +4,19 @@ A text is the sequence of its words, A-Z lower-cased, each closed by a space, an
 a line end after the last. Every byte is coded in eight binary decisions; a
 decision's context is what is decided of the byte and up to ``depth`` bytes before
 it in the word (the space before the word among them), or else the whole word up to
-there, as the deepest context. For each decision a tree of contexts holds counts, with a Krichevsky-Trofimov estimate at each node, and
-the weighting mixes the estimates of all depths on a context's path by how well
-each subtree coded the training texts. What results is a probability: it sums to
-one over all sequences of words.
+there, as the deepest context. For each decision a tree of contexts holds counts, with
+a Krichevsky-Trofimov estimate at each node, and the weighting mixes the estimates of
+all depths on a context's path by how well each subtree coded the training texts. What
+results is a probability: it sums to one over all sequences of words. No context
+reaches into the word before, so the order of words does not change a score.
 
 Counting starts from distinct words, then distinct byte strings, so most work is
 done on what is distinct. All contexts are kept, in a table in the order of their
 bytes from the nearest back, where each context of any depth is a run of neighbours.
 Ranges of it are weighted where they lie; what crosses their ends is put together on
-the driver, a few thousand decisions for a range. ``fit_context_tree`` makes a tree
-of the frequent contexts only, small enough to hold. Words are looked up in two ways with equal results: the most frequent ones,
-a fixed number, in a table that every task has, all others by a join.
+the driver, a few thousand decisions for a range. Words are looked up in two ways with
+equal results: the most frequent ones, a fixed number, in a table that every task has,
+all others by a join.
 
 Null and empty texts have the end as their only token. A null id counts as empty
 text where ids decide what is held out. Repeated rows get equal results but for
@@ -27,12 +28,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.common import in_parts, kept, mixed, words
@@ -106,136 +106,7 @@ def _kt_block(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     )
 
 
-def _decisions(keys: np.ndarray, n: np.ndarray, j: int) -> tuple[np.ndarray, ...]:
-    """Contexts with the first ``j`` bits of the byte, and how often 0 and 1 came next.
-
-    ``keys`` are byte strings in order, which their decisions then are too.
-    """
-    context, byte = keys >> 8 << 8, keys & 255
-    names = context | (1 << j | byte >> (8 - j))
-    if not len(names):
-        return names, n, n
-    starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-    n1 = np.add.reduceat(n * ((byte >> (7 - j)) & 1), starts)
-    return names[starts], np.add.reduceat(n, starts) - n1, n1
-
-
-def _weighted(
-    nodes: list[tuple[np.ndarray, ...]], parents: list[np.ndarray]
-) -> list[np.ndarray]:
-    """Probability of a one at each node, from the counts by depth.
-
-    ``parents`` has, for each depth but the first, where the nodes' parents are. What
-    a node has seen beyond its known children counts as one more child.
-    """
-    depth = len(nodes) - 1
-    shares: list[np.ndarray] = [np.empty(0)] * (depth + 1)
-    below = np.empty(0)
-    for d in range(depth, -1, -1):
-        _, n0, n1 = nodes[d]
-        own = _kt_block(n0, n1)
-        if d == depth:
-            below, shares[d] = own, np.ones(len(own))
-            continue
-        up, (_, c0, c1) = parents[d], nodes[d + 1]
-        rest0 = np.maximum(n0 - np.bincount(up, c0, len(own)), 0)
-        rest1 = np.maximum(n1 - np.bincount(up, c1, len(own)), 0)
-        split = np.bincount(up, below, len(own)) + _kt_block(rest0, rest1)
-        below = np.logaddexp(own, split) - np.log(2)
-        shares[d] = np.exp(own - np.log(2) - below)
-    ones = []
-    sums, left = np.zeros(1), np.ones(1)
-    for d, (_, n0, n1) in enumerate(nodes):
-        p = (n1 + 0.5) / (n0 + n1 + 1)
-        above = parents[d - 1] if d else np.zeros(len(p), np.intp)
-        before, rest = sums[above], left[above]
-        sums = before + rest * shares[d] * p
-        left = rest * (1 - shares[d])
-        ones.append(np.clip(sums + left * p, 1e-9, 1 - 1e-9))
-    return ones
-
-
-@dataclass(frozen=True)
-class ContextTree:
-    """By bit and depth: the decisions known, sorted, and their probability of a one.
-
-    Depths up to ``depth`` are bytes before; one more is the word so far.
-    """
-
-    depth: int
-    names: tuple[tuple[np.ndarray, ...], ...]
-    ones: tuple[tuple[np.ndarray, ...], ...]
-
-    @classmethod
-    def build(
-        cls,
-        depth: int,
-        strings: list[tuple[np.ndarray, np.ndarray]],
-        wholes: tuple[np.ndarray, np.ndarray, np.ndarray],
-    ) -> ContextTree:
-        """From sorted byte strings with their counts, ``depth + 1`` pairs by depth.
-
-        ``wholes`` has those of words so far, their counts, and the byte string of
-        ``depth`` that each ends in. Each bit of the byte has trees of its own, so they
-        are made one after another.
-        """
-        names, ones = [], []
-        whole, n, ends = wholes
-        for j in range(8):
-            nodes = [_decisions(*s, j) for s in strings] + [_decisions(whole, n, j)]
-            found = [node[0] for node in nodes]
-            parents = [
-                np.searchsorted(found[d - 1], found[d] & ((1 << 8 * d) - 1))
-                for d in range(1, depth + 1)
-            ]
-            bits = 1 << j | (ends & 255) >> (8 - j)
-            own = np.searchsorted(whole >> 8 << 8 | bits, found[-1])
-            parents.append(np.searchsorted(found[depth], (ends >> 8 << 8 | bits)[own]))
-            names.append(tuple(found))
-            ones.append(tuple(_weighted(nodes, parents)))
-        return cls(depth, tuple(names), tuple(ones))
-
-    def log10(self, keys: np.ndarray, wholes: np.ndarray) -> np.ndarray:
-        """Log-probability of the coded byte of each byte string."""
-        # What a word has been so far tells its last bytes too.
-        wholes, first, at = np.unique(wholes, return_index=True, return_inverse=True)
-        keys = keys[first]
-        context, byte = keys >> 8 << 8, keys & 255
-        total = np.zeros(len(keys))
-        for j in range(8):
-            bits = 1 << j | byte >> (8 - j)
-            name = context | bits
-            p = np.full(len(keys), 0.5)
-            todo = np.arange(len(keys))
-            for d in range(self.depth + 1, -1, -1):  # the deepest known decides
-                known = self.names[j][d]
-                if not len(known) or not len(todo):
-                    continue
-                if d > self.depth:
-                    want = wholes >> 8 << 8 | bits
-                else:
-                    want = name[todo] & ((1 << 8 * (d + 1)) - 1)
-                place = np.minimum(np.searchsorted(known, want), len(known) - 1)
-                hit = known[place] == want
-                p[todo[hit]] = self.ones[j][d][place[hit]]
-                todo = todo[~hit]
-            one = (byte >> (7 - j)) & 1
-            total += np.log10(np.where(one == 1, p, 1 - p))
-        return total[at]
-
-    def words(self, tokens: list[bytes]) -> np.ndarray:
-        """Log-probability of each word with its space."""
-        if not tokens:
-            return np.empty(0)
-        keys, wholes, of = byte_strings(tokens, self.depth)
-        return np.bincount(of, self.log10(keys, wholes), len(tokens))
-
-    def end(self) -> float:
-        """Log-probability of the end of a text."""
-        return float(self.log10(*(np.array([k]) for k in end_string()))[0])
-
-
-# --- training -------------------------------------------------------------
+# --- counts ---------------------------------------------------------------
 
 _VOCABULARY = "word binary, seen long, trained long"
 
@@ -277,132 +148,6 @@ def count_words(docs: DataFrame, trained: Column) -> DataFrame:
     )
 
 
-def count_strings(vocabulary: DataFrame, depth: int) -> DataFrame:
-    """``key`` and ``n``: byte strings of the training words."""
-
-    def counted(batches):
-        for batch in batches:
-            keys, _, of = byte_strings(batch["word"].to_pylist(), depth)
-            n = batch["trained"].to_numpy()[of]
-            found, at = np.unique(keys, return_inverse=True)
-            sums = np.bincount(at, n, len(found)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(sums)], names=["key", "n"]
-            )
-
-    return (
-        vocabulary.filter("trained > 0")
-        .select("word", "trained")
-        .mapInArrow(counted, "key long, n long")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"))
-    )
-
-
-def count_wholes(vocabulary: DataFrame, depth: int, least: int) -> DataFrame:
-    """``whole``, ``key`` and ``n``: what follows words so far that occur often enough.
-
-    Words that begin alike are neighbours in order, so a batch of sorted words knows
-    the number of each of their beginnings, but for those of its first and last word.
-    Only these and those that occur ``least`` times or more go on.
-    """
-
-    def counted(batches):
-        for batch in batches:
-            tokens = batch["word"].to_pylist()
-            if not tokens:
-                continue
-            keys, wholes, of = byte_strings(tokens, depth)
-            found, first, at = np.unique(wholes, return_index=True, return_inverse=True)
-            sums = np.bincount(at, batch["trained"].to_numpy()[of]).astype(np.int64)
-            _, of_context = np.unique(found >> 8, return_inverse=True)
-            often = np.bincount(of_context, sums)[of_context] >= least
-            open_ends = wholes[(of == 0) | (of == len(tokens) - 1)] >> 8
-            chosen = often | np.isin(found >> 8, open_ends)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found[chosen]),
-                    pa.array(keys[first][chosen]),
-                    pa.array(sums[chosen]),
-                ],
-                names=["whole", "key", "n"],
-            )
-
-    return (
-        vocabulary.filter("trained > 0")
-        .select("word", "trained")
-        .repartitionByRange("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(counted, "whole long, key long, n long")
-        .groupBy("whole")
-        .agg(F.first("key").alias("key"), F.sum("n").alias("n"))
-    )
-
-
-def _of_frequent_contexts(strings: DataFrame, columns: list[Column], least: int) -> DataFrame:
-    """Strings whose context, given by ``columns``, occurs ``least`` times or more."""
-    context = Window.partitionBy(*columns)  # at most 256 rows
-    return (
-        strings.withColumn("in_context", F.sum("n").over(context))
-        .filter(F.col("in_context") >= least)
-        .drop("in_context")
-    )
-
-
-def fit_context_tree(
-    vocabulary: DataFrame, ends: int, *, depth: int = 5, resolution: int = 1 << 19
-) -> ContextTree:
-    """A tree from counted words and the number of texts they are of.
-
-    What follows up to ``resolution`` contexts of each of ``depth + 2`` kinds reaches
-    the driver.
-    """
-    if depth > 5:
-        raise ValueError("byte strings of more than six bytes do not fit in a number")
-    size = vocabulary.agg(F.sum(F.col("trained") * (F.octet_length("word") + 1))).first()[0]
-    least = max(1, ((size or 0) + ends) // resolution)
-    end = vocabulary.sparkSession.range(1).select(
-        F.lit(end_string()[0]).cast("long").alias("key"), F.lit(ends).cast("long").alias("n")
-    )
-    levels = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(d).alias("d"),
-                    F.col("key").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("key"),
-                )
-                for d in range(depth + 1)
-            )
-        )
-    )
-    counted = (
-        count_strings(vocabulary, depth)
-        .unionAll(end)
-        .select(levels.alias("s"), "n")
-        .groupBy("s.d", "s.key")
-        .agg(F.sum("n").alias("n"))
-    )
-    context = F.shiftright("key", 8)
-    got = _of_frequent_contexts(counted, [F.col("d"), context], least).toArrow()
-    d, key, n = (got[c].to_numpy() for c in ("d", "key", "n"))
-    strings = []
-    for level in range(depth + 1):
-        mine = d == level
-        order = np.argsort(key[mine])
-        strings.append((key[mine][order], n[mine][order].astype(np.float64)))
-    key, whole = end_string()
-    end = vocabulary.sparkSession.range(1).select(
-        *(F.lit(v).cast("long").alias(c) for c, v in (("whole", whole), ("key", key), ("n", ends)))
-    )
-    wholes = count_wholes(vocabulary, depth, least).unionAll(end)
-    context = F.shiftright("whole", 8)
-    got = _of_frequent_contexts(wholes, [context], least).toArrow()
-    whole, key, n = (got[c].to_numpy() for c in ("whole", "key", "n"))
-    order = np.argsort(whole)
-    wholes = (whole[order], n[order].astype(np.float64), key[order])
-    return ContextTree.build(depth, strings, wholes)
-
-
 # --- scoring --------------------------------------------------------------
 
 

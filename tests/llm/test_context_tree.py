@@ -8,13 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from podium.llm.common import remainder
+from podium.llm.common import kept, remainder
 from podium.llm.context_tree import (
     _log_gamma,
     all_strings,
     byte_strings,
     end_string,
-    fit_context_tree,
     score_texts,
     string_prices,
 )
@@ -92,18 +91,26 @@ class Plain:
         return total
 
 
-def sum_of_all_bytes(tree, so_far):
+def prices_of(spark, counted, ends, depth, others=(), rows=1 << 17):
+    """The price of each byte string of the words counted, and of others."""
+    made = [(w, counted.get(w, 0)) for w in dict.fromkeys([*counted, *others])]
+    words = spark.createDataFrame(made, "word binary, trained long")
+    strings = kept(all_strings(words, ends, depth), "strings")
+    return {r.whole: r.price for r in string_prices(strings, depth, rows).collect()}
+
+
+def word_price(prices, word, depth):
+    return sum(prices[w] for w in byte_strings([word], depth)[1])
+
+
+def sum_of_all_bytes(prices, so_far, depth):
     """Of the probabilities of what comes next in a word."""
-    keys, wholes, _ = byte_strings([so_far], tree.depth)
-    every = np.arange(256)
-    return (10 ** tree.log10((keys[-1] >> 8 << 8) + every, (wholes[-1] >> 8 << 8) + every)).sum()
+    last = [byte_strings([w], depth)[1][len(so_far)] for w in followed(so_far)]
+    return sum(10 ** prices[w] for w in last)
 
 
-def tree_of(spark, counted, ends, depth, resolution=1 << 22):
-    df = spark.createDataFrame(
-        [(w, n, n) for w, n in counted.items()], "word binary, seen long, trained long"
-    )
-    return fit_context_tree(df, ends, depth=depth, resolution=resolution)
+def followed(so_far):
+    return [so_far + bytes([b]) for b in range(256)]
 
 
 def test_log_gamma():
@@ -128,30 +135,24 @@ def test_byte_strings():
 def test_equal_to_plain_weighting(spark, depth):
     rng = random.Random(depth)
     counted = Counter(w.encode() for w in prose(rng, 200).split())
-    plain, tree = Plain(counted, 7, depth), tree_of(spark, counted, 7, depth)
     tokens = [*counted, b"unseen", b"zzz", "üß".encode(), b"ta", b"x" * 50]
-    assert np.allclose(tree.words(tokens), [plain.word(w) for w in tokens], atol=1e-6)
-    assert abs(tree.end() - plain.word(None)) < 1e-6
+    plain, prices = Plain(counted, 7, depth), prices_of(spark, counted, 7, depth, tokens)
+    got = [word_price(prices, w, depth) for w in tokens]
+    assert np.allclose(got, [plain.word(w) for w in tokens], atol=1e-6)
+    assert abs(prices[end_string()[1]] - plain.word(None)) < 1e-6
 
 
 def test_probabilities_of_a_byte_sum_to_one(spark):
     counted = Counter(w.encode() for w in prose(random.Random(1), 300).split())
-    for resolution in (1 << 22, 40):
-        tree = tree_of(spark, counted, 5, 3, resolution)
-        for so_far in (b"", b"ta", b"tari", b"zzz"):
-            assert abs(sum_of_all_bytes(tree, so_far) - 1) < 1e-9
-
-
-def test_resolution_bounds_the_tree(spark):
-    counted = Counter(w.encode() for w in prose(random.Random(2), 2_000).split())
-    small = tree_of(spark, counted, 5, 4, 64)
-    assert all(len(set(known >> 8)) <= 64 for bit in small.names for known in bit)
-    assert len(set(tree_of(spark, counted, 5, 4).names[7][4] >> 8)) > 64
+    begins = (b"", b"ta", b"tari", b"zzz")
+    prices = prices_of(spark, counted, 5, 3, [w for b in begins for w in followed(b)])
+    for so_far in begins:
+        assert abs(sum_of_all_bytes(prices, so_far, 3) - 1) < 1e-6
 
 
 def test_without_training(spark):
-    tree = tree_of(spark, {}, 0, 3)
-    assert abs(sum_of_all_bytes(tree, b"") - 1) < 1e-9
+    prices = prices_of(spark, {}, 0, 3, followed(b""))
+    assert abs(sum_of_all_bytes(prices, b"", 3) - 1) < 1e-6
 
 
 def documents(spark, n=90):
@@ -251,16 +252,12 @@ def test_contexts_seen_once_count_in_any_corpus(spark):
 @pytest.mark.parametrize("size", [1, 7, 100])
 def test_ranges_make_no_difference(spark, size):
     counted = Counter(w.encode() for w in prose(random.Random(6), 150).split())
-    held = [b"unseen", b"ta", b"zz"]
-    made = [(w, counted[w]) for w in [*counted, *(w for w in held if w not in counted)]]
-    words = spark.createDataFrame(made, "word binary, trained long")
+    words = [*counted, b"unseen", b"ta", b"zz"]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     try:
-        strings = all_strings(words, 4, 3).localCheckpoint()
-        prices = {r.whole: r.price for r in string_prices(strings, 3, size).collect()}
+        prices = prices_of(spark, counted, 4, 3, words, size)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     plain = Plain(counted, 4, 3)
-    for word, _ in made:
-        got = sum(prices[w] for w in byte_strings([word], 3)[1])
-        assert abs(got - plain.word(word)) < 1e-6
+    for word in words:
+        assert abs(word_price(prices, word, 3) - plain.word(word)) < 1e-6
