@@ -87,3 +87,20 @@ def test_fewer_candidates_than_asked_for(spark):
     assert [g[:3] for g in got] == [(0, 1, 1)]
     assert found(spark, [(0, [1.0, 0.0])]) == []
     assert found(spark, []) == []
+
+
+def test_very_large_and_very_small_components(spark):
+    rng = np.random.default_rng(5)
+    scale = [1e-200, 1.0, 1e200, 1e-310]
+    made = [(i, [float(x) * scale[i % 4] for x in rng.normal(size=8)], 0) for i in range(60)]
+    df = spark.createDataFrame(made, "vec_id long, embedding array<double>, label int")
+    got = nearest_neighbours(df, F.col("vec_id") % 10 == 0, k=5).collect()
+    unit = {}
+    for i, v, _ in made:
+        v = np.array(v) / np.abs(v).max()
+        unit[i] = v / np.sqrt((v * v).sum())
+    assert len(got) == 6 * 5
+    for r in got:
+        near = sorted((-(unit[r.query_id] @ unit[i]), i) for i in unit if i != r.query_id)
+        score, i = near[r["rank"] - 1]
+        assert r.vec_id == i and abs(r.score + score) < 1e-9
