@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import in_parts
+from podium.llm.common import in_parts, kept
 
 #: Bytes of the longest token that a model holds.
 LONGEST = 100
@@ -125,18 +125,31 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """``text`` and ``toxic`` of at most ``bound`` labelled rows, those of least hash.
+    """``text`` and ``toxic`` of at most ``bound`` labelled ids, those of least hash.
 
-    The sample's ids are few by that bound, so they are broadcast to the texts.
+    Of rows with one id the least text counts. The sample's ids are few by that bound, so
+    they are broadcast to the texts; hashes are spread evenly, so about twice as many as
+    are wanted lie below a bound that the number of ids gives, and are sorted.
     """
-    chosen = (
+    hashed = F.xxhash64("doc_id")
+    labelled = (
         labels.filter("doc_id is not null and toxic in (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+    )
+    share = (2.0 * bound + 100) / max(labelled.count(), 1)
+    chosen = (
+        labelled.filter(hashed.cast("double") <= share * 2.0**64 - 2.0**63)
+        .orderBy(hashed, "doc_id")
         .limit(bound)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
+        .select("text", "toxic")
+    )
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +194,11 @@ def fit_toxicity(
     that reach ``least_share`` of it and lie ``least_z`` standard errors above 0, at
     most ``vocabulary`` of them.
     """
-    rows = training_sample(docs, labels, sample).groupBy("text").agg(F.max("toxic").alias("toxic"))
+    # Read often, so written once: bounded by the sample.
+    rows = kept(
+        training_sample(docs, labels, sample).groupBy("text").agg(F.max("toxic").alias("toxic")),
+        "labelled",
+    )
     counts = (
         rows.mapInArrow(_counted, "token binary, clean long, toxic long")
         .groupBy("token")
@@ -306,7 +323,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``; all columns stay."""
 
-    def kept(batches):
+    def passed(batches):
         for batch in in_parts(batches):
             clean = [
                 model.probability(*model.evidence(model.segments(t)[1])) < threshold
@@ -314,4 +331,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
             ]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(passed, docs.schema)

@@ -4,6 +4,7 @@ import zlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from podium.llm.toxicity import (
     ToxicityModel,
@@ -163,3 +164,15 @@ def test_any_share_of_toxic_labels(spark, share):
     got = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
     right = [(got[i] >= 0.5) == bool(t) for i, _, t in labels[:100]]
     assert sum(right) / len(right) > 0.95
+
+
+def test_the_sample_is_bounded_by_id(spark):
+    """An id with many texts comes once, and the ids are those of least hash."""
+    docs = spark.range(3_000).selectExpr("id % 500 as doc_id", "concat('text ', id) as text")
+    labels = spark.range(500).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    got = training_sample(docs, labels.union(labels), 100)
+    least = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id")).limit(100).collect()]
+    want = [(min(f"text {i + 500 * k}" for k in range(6)), i % 2) for i in least]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert training_sample(docs, labels, 10_000).count() == 500
+    assert training_sample(docs, labels.limit(0), 100).count() == 0
