@@ -204,11 +204,12 @@ def compare_edited(docs: DataFrame, radius: int = 3) -> DataFrame:
     In the edited text the last third of the characters (rounded down) gives way to
     as many from the beginning of the next document in descending order of id;
     after the last comes the first. ``n_near`` counts the other fingerprints of the
-    table within ``radius`` bits.
+    table within ``radius`` bits. Beside rows without id the least id there is counts as
+    none.
     """
+    nameless = docs.agg(F.count_if(F.col("doc_id").isNull())).first()[0]
     base = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST).cast("long")).alias("id"),
-        F.col("doc_id").isNotNull().alias("named"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     length = F.char_length("text")
@@ -236,7 +237,7 @@ def compare_edited(docs: DataFrame, radius: int = 3) -> DataFrame:
     )
     rows = (
         base.join(begins, F.col("id") == F.col("reader"))
-        .select("id", "named", "next_id", "text", edited.alias("edited"), length.alias("n_chars"))
+        .select("id", "next_id", "text", edited.alias("edited"), length.alias("n_chars"))
         .withColumns(
             {
                 "row": F.monotonically_increasing_id(),
@@ -245,7 +246,7 @@ def compare_edited(docs: DataFrame, radius: int = 3) -> DataFrame:
             }
         )
     )
-    keys = ["id", "named", "row", "next_id", "n_chars", "sha", "edited_sha"]
+    keys = ["id", "row", "next_id", "n_chars", "sha", "edited_sha"]
     prints = kept(fingerprints(rows, keys, ["text", "edited"]), "prints")
 
     own = prints.groupBy("id").agg(
@@ -269,7 +270,7 @@ def compare_edited(docs: DataFrame, radius: int = 3) -> DataFrame:
             near, (F.col("text_high") == F.col("h")) & (F.col("text_low") == F.col("l")), "left"
         )
         .select(
-            F.when(F.col("named"), F.col("id")).alias("doc_id"),
+            F.when(F.lit(not nameless) | (F.col("id") != LOWEST), F.col("id")).alias("doc_id"),
             F.col("n_chars").cast("long").alias("n_chars"),
             F.lower(F.hex("edited_sha")).alias("edited_sha256"),
             fingerprint_text("text_high", "text_low").alias("fingerprint"),
