@@ -3,87 +3,101 @@
 A text is the sequence of its words, A-Z lower-cased, each closed by a space, and
 a line end after the last. Every byte is coded in eight binary decisions; a
 decision's context is what is decided of the byte and up to ``depth`` bytes before
-it in the word (the space before the word among them), or else the whole word up to
-there, as the deepest context. For each decision a tree of contexts holds counts, with
-a Krichevsky-Trofimov estimate at each node, and the weighting mixes the estimates of
+it in the running text, across spaces, so the order of words counts. Before a text
+stands a space. For each decision a tree of contexts holds counts, with a
+Krichevsky-Trofimov estimate at each node, and the weighting mixes the estimates of
 all depths on a context's path by how well each subtree coded the training texts. What
-results is a probability: it sums to one over all sequences of words. No context
-reaches into the word before, so the order of words does not change a score.
-
-Counting starts from distinct words, then distinct byte strings, so most work is
-done on what is distinct. All contexts are kept, in a table in the order of their
-bytes from the nearest back, where each context of any depth is a run of neighbours.
-Ranges of it are weighted where they lie; what crosses their ends is put together on
-the driver, a few thousand decisions for a range. Words are looked up in two ways with
-equal results: the most frequent ones, a fixed number, in a table that every task has,
-all others by a join.
-
-Null and empty texts have the end as their only token. A null id counts as empty
-text where ids decide what is held out. Repeated rows get equal results but for
-the rounding of sums. Without training texts nothing is known: every decision has
-probability one half.
+results is a probability: those of a byte's 256 values sum to one in any context.
+
+Texts lie in blocks of bounded size. A block counts its distinct byte strings, a
+byte and those before it, and its distinct words; the counts are added up over all
+blocks, weighted, and each block gets the prices of its strings back by a join, so
+what moves are the distinct strings of blocks and each text once. All contexts are
+kept, in a table in the order of their bytes from the nearest back, where each
+context of any depth is a run of neighbours. Ranges of it are weighted where they
+lie; what crosses their ends is put together on the driver, a few thousand decisions
+for a range.
+
+Words are told apart by 64-bit hashes. Null and empty texts have the end as their only
+token. A null id counts as empty text where ids decide what is held out. Repeated rows
+get equal results but for the rounding of sums. A text is read in pieces of about a
+megabyte, cut after a space. Without training texts nothing is known: every decision
+has probability one half. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.common import in_parts, kept, mixed, words
 
-SPACE, LINE = 0x20, 0x0A
+SPACE = 0x20
 _BASE = np.uint64(0xB5026F5AA96619E9)
-#: Bytes of the longest word among those that all tasks get.
-LONGEST = 64
+#: Set in the key of a word; byte strings are below.
+_WORD = np.uint64(1 << 63)
 
 
 # --- byte strings ---------------------------------------------------------
 
 
+def pieces(
+    texts: Iterable[list[bytes]], depth: int, size: int = 1 << 20
+) -> Iterator[list[tuple[int, bytes, bytes]]]:
+    """Texts, given by their words, as groups of about ``size`` bytes.
+
+    Of each piece: the number of its text, the ``depth`` bytes before, its bytes.
+    """
+    group, total = [], 0
+    for i, tokens in enumerate(texts):
+        data = b"".join(t + b" " for t in tokens) + b"\n"
+        lead, at = b"\0" * (depth - 1) + b" ", 0
+        while at < len(data):
+            end = data.find(b" ", at + max(size, depth)) + 1 or len(data)
+            group.append((i, lead, data[at:end]))
+            total += end - at
+            lead, at = data[end - depth : end], end
+            if total >= size:
+                yield group
+                group, total = [], 0
+    if group:
+        yield group
+
+
 def byte_strings(
-    tokens: list[bytes], depth: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte: it and the ``depth`` before it, it and the word so far, its token.
+    group: list[tuple[int, bytes, bytes]], depth: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The key of each byte and its text, the key of each word and its text.
 
-    The first is the bytes as one number, the coded byte the lowest, with zeros
-    before a word's space. The second has a hash in place of the bytes before.
+    A byte's key is a number of the ``depth`` bytes before, the nearest the highest,
+    and the byte itself the lowest.
     """
-    lead = b"\0" * (depth - 1) + b" "
-    sizes = np.array([len(t) + 1 for t in tokens], dtype=np.int64)
-    data = np.frombuffer(b"".join(lead + t + b" " for t in tokens), np.uint8).astype(np.int64)
-    of = np.repeat(np.arange(len(tokens)), sizes)
-    # A token's bytes begin after the leads up to its own.
-    at = np.arange(len(of)) + (of + 1) * depth
-    keys = np.zeros(len(of), dtype=np.int64)
-    for back in range(depth, -1, -1):
-        keys = (keys << 8) | data[at - back]
+    sizes = np.array([len(data) for _, _, data in group], dtype=np.int64)
+    data = np.frombuffer(b"".join(lead + d for _, lead, d in group), np.uint8).astype(np.int64)
+    number = np.arange(sizes.sum())
+    at = number + (np.repeat(np.arange(len(group)), sizes) + 1) * depth
+    of = np.repeat(np.array([i for i, _, _ in group], dtype=np.int64), sizes)
+    keys = np.zeros(len(at), np.int64)
+    for back in range(1, depth + 1):
+        keys = keys << 8 | data[at - back]
     byte = data[at]
-    # Sums of bytes times a power for their place, from the word's begin.
-    begin = np.cumsum(sizes) - sizes
-    place = np.arange(len(of)) - np.repeat(begin, sizes)
-    powers = np.cumprod(
-        np.full(int(sizes.max(initial=1)), _BASE, np.uint64), dtype=np.uint64
-    )
+    keys = keys << 8 | byte
+    # Sums of a word's bytes times a power for their place, from its begin.
+    begin = np.maximum.accumulate(np.where(data[at - 1] == SPACE, number, 0))
+    place = number - begin
+    powers = np.full(int(place.max(initial=0)) + 1, _BASE, np.uint64)
+    powers = np.cumprod(powers, dtype=np.uint64)
     terms = (byte.astype(np.uint64) + np.uint64(1)) * powers[place]
     before = np.cumsum(terms, dtype=np.uint64) - terms
-    before -= np.repeat(before[begin] if len(begin) else before, sizes)
-    return keys, _whole(before, byte), of
-
-
-def _whole(hashes: np.ndarray, byte: np.ndarray) -> np.ndarray:
-    return (mixed(hashes) >> np.uint64(9)).astype(np.int64) << 8 | byte
-
-
-def end_string() -> tuple[int, int]:
-    """The line end where a word could begin, as ``byte_strings`` has it."""
-    whole = _whole(np.zeros(1, np.uint64), np.array([LINE]))
-    return SPACE << 8 | LINE, int(whole[0])
+    ends = np.flatnonzero(byte == SPACE)
+    hashes = mixed(before[ends] - before[begin[ends]]) | _WORD
+    return keys, of, hashes.view(np.int64), of[ends]
 
 
 # --- model ----------------------------------------------------------------
@@ -108,92 +122,73 @@ def _kt_block(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 # --- counts ---------------------------------------------------------------
 
-_VOCABULARY = "word binary, seen long, trained long"
-
 
-def count_words(docs: DataFrame, trained: Column) -> DataFrame:
-    """``word``, how often it was ``seen``, and how often in rows that are ``trained``."""
-
-    def flushed(seen: Counter, learned: Counter) -> pa.RecordBatch:
-        found = list(seen)
-        batch = pa.RecordBatch.from_arrays(
-            [
-                pa.array(found, pa.binary()),
-                pa.array(seen.values(), pa.int64()),
-                pa.array([learned[w] for w in found], pa.int64()),
-            ],
-            names=["word", "seen", "trained"],
-        )
-        seen.clear()
-        learned.clear()
-        return batch
-
-    def counted(batches):
-        seen, learned = Counter(), Counter()
-        for batch in in_parts(batches):
-            for text, t in zip(batch["text"].to_pylist(), batch["learn"].to_pylist()):
-                found = words(text)
-                seen.update(found)
-                if t:
-                    learned.update(found)
-                if len(seen) > 250_000:
-                    yield flushed(seen, learned)
-        yield flushed(seen, learned)
-
-    return (
-        docs.select("text", trained.alias("learn"))
-        .mapInArrow(counted, _VOCABULARY)
-        .groupBy("word")
-        .agg(F.sum("seen").alias("seen"), F.sum("trained").alias("trained"))
-    )
+def in_blocks(docs: DataFrame, size: int) -> DataFrame:
+    """Rows with a ``block``: neighbours of about ``size`` bytes of text."""
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields]
 
+    def numbered(batches):
+        block, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy()
+            blocks = []
+            for n in lengths:
+                if filled >= size:
+                    block, filled = block + 1, 0
+                blocks.append(block)
+                filled += int(n) + 64
+            yield batch.append_column("block", pa.array(blocks, pa.int64()))
 
-# --- scoring --------------------------------------------------------------
+    return docs.mapInArrow(numbered, ", ".join([*fields, "block long"]))
 
 
-def _reversed(keys: np.ndarray, depth: int) -> np.ndarray:
-    """The contexts of byte strings with the nearest byte the highest."""
-    out = np.zeros(len(keys), np.int64)
-    for back in range(1, depth + 1):
-        out = out << 8 | (keys >> 8 * back) & 255
-    return out
+def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their numbers."""
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    sums = np.bincount(at, np.concatenate([n for _, n in found]), len(keys))
+    return keys, sums.astype(np.int64)
 
 
-def all_strings(vocabulary: DataFrame, ends: int, depth: int) -> DataFrame:
-    """``rev``, ``whole`` and ``n``: what follows each beginning of all words, and the end.
+def block_counts(rows: DataFrame, depth: int) -> DataFrame:
+    """``block``, ``key`` and ``n``: each block's distinct strings and words.
 
-    ``n`` counts training texts only; what was only held out has 0. The words of a
-    batch are neighbours in order, so most of what they share is added up there.
+    ``n`` counts texts that are not ``held_out`` only; what they lack has 0.
     """
 
-    def counted(batches):
-        for batch in batches:
-            keys, wholes, of = byte_strings(batch["word"].to_pylist(), depth)
-            found, first, at = np.unique(wholes, return_index=True, return_inverse=True)
-            sums = np.bincount(at, batch["trained"].to_numpy()[of], len(found))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_reversed(keys[first], depth)),
-                    pa.array(found),
-                    pa.array(sums.astype(np.int64)),
-                ],
-                names=["rev", "whole", "n"],
-            )
+    def made(block: int, found: list) -> pa.RecordBatch:
+        keys, sums = _added(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(sums)],
+            names=["block", "key", "n"],
+        )
 
-    key, whole = end_string()
-    values = (("rev", int(_reversed(np.array([key]), depth)[0])), ("whole", whole), ("n", ends))
-    end = vocabulary.sparkSession.range(1).select(
-        *(F.lit(v).cast("long").alias(c) for c, v in values)
-    )
-    return (
-        vocabulary.select("word", "trained")
-        .mapInArrow(counted, "rev long, whole long, n long")
-        .unionAll(end)
-        .groupBy("rev", "whole")
-        .agg(F.sum("n").alias("n"))
+    def counted(batches):
+        now, found = None, []
+        for batch in in_parts(batches):
+            blocks = batch["block"].to_numpy()
+            for block in np.unique(blocks):
+                mine = batch.filter(pa.array(blocks == block))
+                if block != now:
+                    if found:
+                        yield made(now, found)
+                    now, found = block, []
+                learn = ~mine["held_out"].to_numpy(zero_copy_only=False)
+                for group in pieces(map(words, mine["text"].to_pylist()), depth):
+                    keys, of, hashes, texts = byte_strings(group, depth)
+                    found.append(_added([(keys, learn[of]), (hashes, learn[texts])]))
+                if sum(len(k) for k, _ in found) > 1 << 22:
+                    found = [_added(found)]
+        if found:
+            yield made(now, found)
+
+    return rows.select("block", "held_out", "text").mapInArrow(
+        counted, "block long, key long, n long"
     )
 
 
+# --- weighting ------------------------------------------------------------
+
+
 def _context_ids(level: int, *parts: np.ndarray) -> np.ndarray:
     ids = np.full(len(parts[0]), level + 1, np.uint64)
     for part in parts:
@@ -206,9 +201,9 @@ def _node_ids(contexts: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _range_weighted(
-    rev: np.ndarray, whole: np.ndarray, n: np.ndarray, depth: int
+    strings: np.ndarray, n: np.ndarray, depth: int
 ) -> tuple[tuple[np.ndarray, ...], list[tuple[np.ndarray, ...]]]:
-    """Weighting of one range of all strings, in the order of ``rev`` and ``whole``.
+    """Weighting of one range of all strings, in order.
 
     A context is a run of neighbours in that order at every depth, so only those of
     the first and the last string may go on in other ranges: these are open, all
@@ -217,37 +212,22 @@ def _range_weighted(
     known); the second the open decisions: depth, id, the parent's id, the counts,
     and the sum over weighted children.
     """
-    last = depth + 1
-    byte = whole & 255
-    new = (rev[1:] != rev[:-1]) | (whole[1:] >> 8 != whole[:-1] >> 8)
-    rank = np.concatenate([[0], np.cumsum(new)])
-    keys, counts, ups = [rank << 8 | byte], [n.astype(np.float64)], []
-    revs = rev << 8 | byte
-    for d in range(depth, -1, -1):
-        up_keys = (revs >> 8 * (depth - d + 1)) << 8 | revs & 255
-        if d == depth:
-            up_keys = revs
-        found, at = np.unique(up_keys, return_inverse=True)
+    keys, counts, ups = [strings], [n.astype(np.float64)], []
+    for d in range(depth - 1, -1, -1):
+        below = keys[0]
+        found, at = np.unique((below >> 16) << 8 | below & 255, return_inverse=True)
         counts.insert(0, np.bincount(at, counts[0], len(found)))
         keys.insert(0, found)
         ups.insert(0, at)
-        # The strings of this depth, as those of the full depth they begin.
-        revs = (found >> 8) << 8 * (depth - d + 1) | found & 255
-        if d == depth:
-            revs = found
     opened, ids = [], []
-    for d in range(last + 1):
+    for d in range(depth + 1):
         context = keys[d] >> 8
-        if d == last:
-            opened.append((context == 0) | (context == rank[-1]))
-            ids.append(_context_ids(d, rev, whole >> 8))
-        else:
-            ends = (rev[0] >> 8 * (depth - d), rev[-1] >> 8 * (depth - d))
-            opened.append((context == ends[0]) | (context == ends[1]))
-            ids.append(_context_ids(d, context))
-    deepest, at = np.zeros(len(rev), np.uint64), np.arange(len(rev))
-    todo = np.ones(len(rev), bool)
-    for d in range(last, -1, -1):
+        ends = strings[[0, -1]] >> 8 * (depth - d + 1)
+        opened.append((context == ends[0]) | (context == ends[1]))
+        ids.append(_context_ids(d, context))
+    deepest, at = np.zeros(len(strings), np.uint64), np.arange(len(strings))
+    todo = np.ones(len(strings), bool)
+    for d in range(depth, -1, -1):
         mine = todo & opened[d][at]
         deepest[mine] = ids[d][at[mine]]
         todo &= ~mine
@@ -256,23 +236,23 @@ def _range_weighted(
     local, found = [], []
     for j in range(8):
         nodes = []
-        for d in range(last + 1):
+        for d in range(depth + 1):
             names = keys[d] >> (8 - j)
             first = np.concatenate([[True], names[1:] != names[:-1]])
             starts = np.flatnonzero(first)
             n1 = np.add.reduceat(counts[d] * ((keys[d] >> (7 - j)) & 1), starts)
             nodes.append((starts, np.cumsum(first) - 1, np.add.reduceat(counts[d], starts) - n1, n1))
         parents = [None] + [
-            nodes[d - 1][1][ups[d - 1][nodes[d][0]]] for d in range(1, last + 1)
+            nodes[d - 1][1][ups[d - 1][nodes[d][0]]] for d in range(1, depth + 1)
         ]
-        is_open = [opened[d][nodes[d][0]] for d in range(last + 1)]
-        shares: list[np.ndarray] = [np.empty(0)] * (last + 1)
+        is_open = [opened[d][nodes[d][0]] for d in range(depth + 1)]
+        shares: list[np.ndarray] = [np.empty(0)] * (depth + 1)
         below = np.empty(0)
-        for d in range(last, -1, -1):
+        for d in range(depth, -1, -1):
             starts, _, n0, n1 = nodes[d]
             own = _kt_block(n0, n1)
             split = np.zeros(len(own))
-            if d == last:
+            if d == depth:
                 weighted, shares[d] = own, np.ones(len(own))
             else:
                 split = np.bincount(
@@ -297,7 +277,7 @@ def _range_weighted(
             )
             below = weighted
         sums = left = ones = np.empty(0)
-        for d in range(last + 1):
+        for d in range(depth + 1):
             _, _, n0, n1 = nodes[d]
             p = (n1 + 0.5) / (n0 + n1 + 1)
             if not d:  # what begins all contexts is always open
@@ -310,12 +290,12 @@ def _range_weighted(
             left = np.where(known, rest * (1 - shares[d]), 0.0)
             o = is_open[d]
             sums[o], left[o], ones[o] = 0.0, 1.0, np.nan
-        local.append(ones[nodes[last][1]])
+        local.append(ones[nodes[depth][1]])
     return (deepest.view(np.int64), *local), found
 
 
 _BITS = [f"p{j}" for j in range(8)]
-_WEIGHTED = ["depth int", "context long", "rev long", "whole long", *(f"{c} double" for c in _BITS)]
+_WEIGHTED = ["depth int", "context long", "key long", *(f"{c} double" for c in _BITS)]
 
 
 def weigh_ranges(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFrame:
@@ -324,11 +304,11 @@ def weigh_ranges(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFra
 
     def weighed(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(parts)
-        rev, whole, n = (table[c].to_numpy() for c in ("rev", "whole", "n"))
-        own, found = _range_weighted(rev, whole, n, depth)
-        minus = pa.array(np.full(len(rev), -1, np.int32))
+        keys, n = (table[c].to_numpy() for c in ("key", "n"))
+        own, found = _range_weighted(keys, n, depth)
+        minus = pa.array(np.full(len(keys), -1, np.int32))
         yield pa.RecordBatch.from_arrays(
-            [minus, pa.array(own[0]), pa.array(rev), pa.array(whole), *map(pa.array, own[1:])],
+            [minus, pa.array(own[0]), pa.array(keys), *map(pa.array, own[1:])],
             names=names,
         )
         d, node, above, n0, n1, split = (np.concatenate(c) for c in zip(*found))
@@ -338,7 +318,6 @@ def weigh_ranges(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFra
                 pa.array(d.astype(np.int32)),
                 pa.array(node),
                 pa.array(above),
-                pa.nulls(len(d), pa.int64()),
                 *(pa.array(c) for c in (n0, n1, split)),
                 *[none] * 5,
             ],
@@ -358,8 +337,8 @@ def weigh_ranges(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFra
             yield from weighed(parts)
 
     return (
-        strings.repartitionByRange("rev", "whole")
-        .sortWithinPartitions("rev", "whole")
+        strings.repartitionByRange("key")
+        .sortWithinPartitions("key")
         .mapInArrow(weighed_all, ", ".join(_WEIGHTED))
     )
 
@@ -371,22 +350,22 @@ def join_ranges(opened: pa.Table, depth: int) -> tuple[np.ndarray, ...]:
     those below, and the probability of a one where nothing below is known. There are
     a few thousand decisions for a range, whatever the number of contexts in it.
     """
-    columns = (opened[c].to_numpy() for c in ("depth", "context", "rev", "p0", "p1", "p2"))
+    columns = (opened[c].to_numpy() for c in ("depth", "context", "key", "p0", "p1", "p2"))
     d, node, above, n0, n1, split = columns
     ids, first, at = np.unique(node, return_index=True, return_inverse=True)
     n0, n1, split = (np.bincount(at, c, len(ids)) for c in (n0, n1, split))
     d, up = d[first], np.searchsorted(ids, above[first])
     own, shares = _kt_block(n0, n1), np.ones(len(ids))
-    for level in range(depth, -1, -1):
+    for level in range(depth - 1, -1, -1):
         child = d == level + 1
-        below = own if level == depth else weighted
+        below = own if level == depth - 1 else weighted
         split = split + np.bincount(up[child], below[child], len(ids))
         weighted = np.logaddexp(own, split) - np.log(2)
         mine = d == level
         shares[mine] = np.exp(own - np.log(2) - weighted)[mine]
     p, known = (n1 + 0.5) / (n0 + n1 + 1), n0 + n1 > 0
     sums, left, ones = np.zeros(len(ids)), np.ones(len(ids)), np.full(len(ids), 0.5)
-    for level in range(depth + 2):
+    for level in range(depth + 1):
         mine = np.flatnonzero(d == level)
         before, rest, other = np.zeros(len(mine)), np.ones(len(mine)), np.full(len(mine), 0.5)
         if level:
@@ -399,16 +378,16 @@ def join_ranges(opened: pa.Table, depth: int) -> tuple[np.ndarray, ...]:
 
 
 def string_prices(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFrame:
-    """``rev``, ``whole`` and ``price``: the log-probability of each string's byte."""
+    """``key`` and ``price``: the log-probability of each string's byte."""
     weighed = kept(weigh_ranges(strings, depth, rows), "weighed")
-    opened = weighed.filter("depth >= 0").select("depth", "context", "rev", *_BITS[:3]).toArrow()
+    opened = weighed.filter("depth >= 0").select("depth", "context", "key", *_BITS[:3]).toArrow()
     shared = strings.sparkSession.sparkContext.broadcast(join_ranges(opened, depth))
 
     def priced(batches):
         ids, sums, left, ones = shared.value
         for batch in batches:
             context = batch["context"].to_numpy().view(np.uint64)
-            byte = batch["whole"].to_numpy() & 255
+            byte = batch["key"].to_numpy() & 255
             total = np.zeros(len(byte))
             for j, c in enumerate(_BITS):
                 at = np.searchsorted(ids, _node_ids(context, 1 << j | byte >> (8 - j)))
@@ -417,171 +396,91 @@ def string_prices(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFr
                 p = np.clip(p, 1e-9, 1 - 1e-9)
                 total += np.log10(np.where((byte >> (7 - j)) & 1 == 1, p, 1 - p))
             yield pa.RecordBatch.from_arrays(
-                [batch["rev"], batch["whole"], pa.array(total)], names=["rev", "whole", "price"]
+                [batch["key"], pa.array(total)], names=["key", "price"]
             )
 
     return (
         weighed.filter("depth < 0")
         .drop("depth")
-        .mapInArrow(priced, "rev long, whole long, price double")
+        .mapInArrow(priced, "key long, price double")
     )
 
 
-def _rated(vocabulary: DataFrame, prices: DataFrame, depth: int, base: Column) -> DataFrame:
-    """Each word with whether it is ``known`` and its two log-probabilities.
-
-    Blocks of neighbouring words ask for the prices of their strings, each once, so
-    the beginnings that many words share are no hot keys.
-    """
-
-    def asked(batches):
-        for batch in batches:
-            keys, wholes, of = byte_strings(batch["word"].to_pylist(), depth)
-            blocks = batch["block"].to_numpy()
-            for block in np.unique(blocks):
-                found, first = np.unique(wholes[blocks[of] == block], return_index=True)
-                rev = _reversed(keys[blocks[of] == block][first], depth)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), block)), pa.array(rev), pa.array(found)],
-                    names=["block", "rev", "whole"],
-                )
-
-    def rated(words_of: pa.Table, prices_of: pa.Table) -> pa.Table:
-        keys, wholes, of = byte_strings(words_of["word"].to_pylist(), depth)
-        known, first = np.unique(prices_of["whole"].to_numpy(), return_index=True)
-        price = prices_of["price"].to_numpy()[first][np.searchsorted(known, wholes)]
-        score = np.bincount(of, price, words_of.num_rows)
-        return words_of.drop_columns(["block"]).append_column("score", pa.array(score))
-
-    table = vocabulary.select(
-        "block", "word", "seen", (F.col("trained") > 0).alias("known"), base.alias("base")
-    )
-    wanted = table.select("block", "word").mapInArrow(asked, "block long, rev long, whole long")
-    got = wanted.join(prices, ["rev", "whole"]).select("block", "whole", "price")
-    return (
-        table.groupBy("block")
-        .cogroup(got.groupBy("block"))
-        .applyInArrow(rated, "word binary, seen long, known boolean, base double, score double")
-    )
-
+# --- scoring --------------------------------------------------------------
 
-_NUMBERS = ["row long", "n_words long", "n_bytes long", "known long", "base double", "score double"]
-_ROWS = ", ".join([*_NUMBERS, "rare array<struct<word: binary, n: bigint>>"])
+_SCORED = [
+    "held_out boolean",
+    "n_tokens long",
+    "n_known long",
+    "train_tokens long",
+    "base_score double",
+    "score double",
+    "bits_per_byte double",
+]
 
 
 def score_texts(
-    docs: DataFrame,
-    held_out: Column,
-    *,
-    depth: int = 5,
-    frequent: int = 1 << 17,
+    docs: DataFrame, held_out: Column, *, depth: int = 5, block_bytes: int = 1 << 25
 ) -> DataFrame:
     """Log-probabilities of all texts, learned from those that are not ``held_out``.
 
     Columns: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score``, ``score``, and ``bits_per_byte``, the model's code length over
-    the bytes of the words and their ends. ``frequent`` words, of at most ``LONGEST``
-    bytes, are sent to all tasks.
+    the bytes of the words and their ends. ``depth`` is 6 at most. Blocks have about
+    ``block_bytes`` bytes of text, or one text.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
-    in_order = (
-        kept(count_words(rows, ~F.col("held_out")), "counted")
-        .repartitionByRange("word")
-        .sortWithinPartitions("word")
-    )
-    # Ids go up by one inside a range, so a block is of neighbouring words.
-    block = F.shiftright(F.monotonically_increasing_id(), 13)
-    vocabulary = kept(in_order.withColumn("block", block), "words")
+    if not 1 <= depth <= 6:
+        raise ValueError("depth is from 1 to 6: a string is one 64-bit number")
+    found = docs.select("doc_id", "text", held_out.alias("held_out"))
+    rows = kept(in_blocks(found, block_bytes), "blocks")
+    asked = kept(block_counts(rows, depth), "asked")
+    counted = kept(asked.groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    strings, vocabulary = counted.filter("key >= 0"), counted.filter("key < 0")
     ends = rows.filter("not held_out").count()
-    totals = vocabulary.agg(
-        F.sum("trained").alias("n"), F.count_if(F.col("trained") > 0).alias("v")
-    ).first()
+    totals = vocabulary.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n_tokens = (totals["n"] or 0) + ends
-    distinct = (totals["v"] or 0) + (ends > 0)
-    whole = n_tokens + 0.1 * (distinct + 1)
-
-    strings = kept(all_strings(vocabulary, ends, depth), "strings")
-    prices = kept(string_prices(strings, depth), "prices")
-    base = F.log10((F.col("trained") + 0.1) / F.lit(whole))
-    rated = kept(_rated(vocabulary, prices, depth, base), "rated")
-    score_end = prices.filter(F.col("whole") == end_string()[1]).first()["price"]
-    most = (
-        rated.filter(F.octet_length("word") <= LONGEST)
-        .orderBy(F.desc("seen"), "word")
-        .limit(frequent)
-        .select("word", F.col("known").cast("int").alias("known"), "base", "score")
-        .toArrow()
+    whole = n_tokens + 0.1 * ((totals["v"] or 0) + (ends > 0) + 1)
+
+    # A word's answer is how often training texts have it, a string's its price.
+    answers = vocabulary.select("key", F.col("n").cast("double").alias("price")).unionAll(
+        string_prices(strings, depth)
     )
-    columns = [most[c].to_pylist() for c in ("word", "known", "base", "score")]
-    common = dict(zip(columns[0], zip(*columns[1:])))
-    del most, columns
-    known_end = int(ends > 0)
-    base_end = float(np.log10((ends + 0.1) / whole))
-    shared = spark.sparkContext.broadcast(common)
-
-    def read(batches):
-        common = shared.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in in_parts(batches):
-            columns: list[list] = [[] for _ in range(6)]
-            rare_words, rare_counts, offsets = [], [], [0]
-            for text in batch["text"].to_pylist():
-                found = words(text)
-                known, base, score = known_end, base_end, score_end
-                for word, n in Counter(found).items():
-                    entry = common.get(word)
-                    if entry is None:
-                        rare_words.append(word)
-                        rare_counts.append(n)
-                    else:
-                        known += n * entry[0]
-                        base += n * entry[1]
-                        score += n * entry[2]
-                offsets.append(len(rare_words))
-                coded = sum(map(len, found)) + len(found) + 1
-                for c, v in zip(columns, (row, len(found), coded, known, base, score)):
-                    c.append(v)
-                row += 1
-            kinds = [pa.int64()] * 4 + [pa.float64()] * 2
-            rare = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())],
-                names=["word", "n"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    batch["held_out"],
-                    *(pa.array(c, k) for c, k in zip(columns, kinds)),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare),
-                ],
-                names=["doc_id", "held_out", *(c.split()[0] for c in _NUMBERS), "rare"],
+    got = asked.join(answers, "key").select("block", "key", "price")
+
+    def scored(texts: pa.Table, prices: pa.Table) -> pa.Table:
+        order = np.argsort(prices["key"].to_numpy())
+        known, price = (prices[c].to_numpy()[order] for c in ("key", "price"))
+        out = []
+        for batch in texts.to_batches(max_chunksize=512):
+            tokens = [words(t) for t in batch["text"].to_pylist()]
+            size = len(tokens)
+            n_known, score = np.full(size, int(ends > 0)), np.zeros(size)
+            base = np.full(size, np.log10((ends + 0.1) / whole))
+            for group in pieces(tokens, depth):
+                keys, of, hashes, of_words = byte_strings(group, depth)
+                score += np.bincount(of, price[np.searchsorted(known, keys)], size)
+                c = price[np.searchsorted(known, hashes)]
+                n_known += np.bincount(of_words, c > 0, size).astype(np.int64)
+                base += np.bincount(of_words, np.log10((c + 0.1) / whole), size)
+            n = np.array([len(t) for t in tokens], dtype=np.int64) + 1
+            coded = np.array([sum(map(len, t)) for t in tokens], dtype=np.int64) + n
+            columns = (n, n_known, np.full(size, n_tokens), base, score)
+            out.append(
+                pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"],
+                        batch["held_out"],
+                        *map(pa.array, columns),
+                        pa.array(-score / np.log10(2) / coded),
+                    ],
+                    names=["doc_id", *(c.split()[0] for c in _SCORED)],
+                )
             )
+        return pa.Table.from_batches(out)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = kept(
-        rows.mapInArrow(read, f"doc_id {kind}, held_out boolean, {_ROWS}"), "scored"
-    )
-    rest = (
-        scored.select("row", F.explode("rare").alias("r"))
-        .select("row", "r.word", "r.n")
-        .join(rated, "word")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("n") * F.col("base")).alias("more_base"),
-            F.sum(F.col("n") * F.col("score")).alias("more_score"),
-        )
-    )
-    none = F.lit(0)
-    score = F.col("score") + F.coalesce("more_score", none)
-    return scored.drop("rare").join(rest, "row", "left").select(
-        "doc_id",
-        "held_out",
-        (F.col("n_words") + 1).alias("n_tokens"),
-        (F.col("known") + F.coalesce("more_known", none)).alias("n_known"),
-        F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"),
-        score.alias("score"),
-        (-score / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
+    kind = found.schema["doc_id"].dataType.simpleString()
+    return (
+        rows.groupBy("block")
+        .cogroup(got.groupBy("block"))
+        .applyInArrow(scored, ", ".join([f"doc_id {kind}", *_SCORED]))
     )

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from podium.llm.common import kept, remainder
 from podium.llm.context_tree import (
+    _added,
     _log_gamma,
-    all_strings,
     byte_strings,
-    end_string,
+    in_blocks,
+    pieces,
     score_texts,
     string_prices,
 )
@@ -31,86 +32,83 @@ def kt(n0, n1):
 
 
 class Plain:
-    """Context-tree weighting node by node, from words and how often they occur."""
+    """Context-tree weighting node by node, from texts given by their words."""
 
-    def __init__(self, counted, ends, depth):
+    def __init__(self, texts, depth):
         self.depth, self.n = depth, {}
-        for word, times in [*counted.items(), (None, ends)]:
-            for so_far, byte in self.coded(word):
-                for d in range(depth + 2):
+        for text in texts:
+            for before, byte in self.coded(text):
+                for d in range(depth + 1):
                     for j in range(8):
-                        node = (d, self.context(so_far, d), byte >> (8 - j) | 1 << j)
-                        self.n.setdefault(node, [0, 0])[byte >> (7 - j) & 1] += times
+                        node = (d, before[depth - d :], byte >> (8 - j) | 1 << j)
+                        self.n.setdefault(node, [0, 0])[byte >> (7 - j) & 1] += 1
         self.children = {}
         for d, context, bits in self.n:
             if d:
-                parent = self.context(context, d - 1) if d > depth else context[1:]
-                self.children.setdefault((d - 1, parent, bits), []).append((d, context, bits))
+                parent = (d - 1, context[1:], bits)
+                self.children.setdefault(parent, []).append((d, context, bits))
         self.weighted = {}
 
-    def context(self, so_far, d):
-        """The bytes before that a depth sees; beyond the last, all of the word."""
-        if d > self.depth:
-            return so_far
-        padded = b"\0" * (self.depth - 1) + b" " + so_far
-        return padded[len(padded) - d :]
-
-    def coded(self, word):
-        data = b"\n" if word is None else word + b" "
-        return [(data[:i], data[i]) for i in range(len(data))]
+    def coded(self, text):
+        """Each byte, and as many before it as the deepest context has."""
+        data = b"".join(w + b" " for w in text) + b"\n"
+        padded = b"\0" * (self.depth - 1) + b" " + data
+        return [(padded[i : i + self.depth], byte) for i, byte in enumerate(data)]
 
     def log_weighted(self, node):
         if node not in self.weighted:
             own = kt(*self.n[node])
-            if node[0] <= self.depth:
+            if node[0] < self.depth:
                 split = sum(map(self.log_weighted, self.children[node]))
                 own = np.logaddexp(own, split) - math.log(2)
             self.weighted[node] = own
         return self.weighted[node]
 
-    def one(self, so_far, bits):
+    def one(self, before, bits):
         def at(d):
-            node = (d, self.context(so_far, d), bits)
+            node = (d, before[self.depth - d :], bits)
             n0, n1 = self.n[node]
             p = (n1 + 0.5) / (n0 + n1 + 1)
-            deeper = (d + 1, self.context(so_far, d + 1), bits)
-            if d > self.depth or deeper not in self.n:
+            if d == self.depth or (d + 1, before[self.depth - d - 1 :], bits) not in self.n:
                 return p
             share = math.exp(kt(n0, n1) - math.log(2) - self.log_weighted(node))
             return share * p + (1 - share) * at(d + 1)
 
         return at(0) if (0, b"", bits) in self.n else 0.5
 
-    def word(self, word):
+    def text(self, text):
         total = 0.0
-        for so_far, byte in self.coded(word):
+        for before, byte in self.coded(text):
             for j in range(8):
-                p = self.one(so_far, byte >> (8 - j) | 1 << j)
+                p = self.one(before, byte >> (8 - j) | 1 << j)
                 p = min(max(p, 1e-9), 1 - 1e-9)
                 total += math.log10(p if byte >> (7 - j) & 1 else 1 - p)
         return total
 
 
-def prices_of(spark, counted, ends, depth, others=(), rows=1 << 17):
-    """The price of each byte string of the words counted, and of others."""
-    made = [(w, counted.get(w, 0)) for w in dict.fromkeys([*counted, *others])]
-    words = spark.createDataFrame(made, "word binary, trained long")
-    strings = kept(all_strings(words, ends, depth), "strings")
-    return {r.whole: r.price for r in string_prices(strings, depth, rows).collect()}
+def keys_of(texts, depth, size=1 << 20):
+    """The keys of each text's bytes."""
+    out = [[] for _ in texts]
+    for group in pieces(texts, depth, size):
+        keys, of, _, _ = byte_strings(group, depth)
+        for k, i in zip(keys.tolist(), of.tolist()):
+            out[i].append(k)
+    return out
 
 
-def word_price(prices, word, depth):
-    return sum(prices[w] for w in byte_strings([word], depth)[1])
+def prices_of(spark, trained, depth, others=(), rows=1 << 17):
+    """The price of each byte string of the texts trained on, and of other strings."""
+    counted = Counter(k for keys in keys_of(trained, depth) for k in keys)
+    made = [(k, counted[k]) for k in dict.fromkeys([*counted, *others])]
+    strings = kept(spark.createDataFrame(made, "key long, n long"), "strings")
+    return {r.key: r.price for r in string_prices(strings, depth, rows).collect()}
 
 
-def sum_of_all_bytes(prices, so_far, depth):
-    """Of the probabilities of what comes next in a word."""
-    last = [byte_strings([w], depth)[1][len(so_far)] for w in followed(so_far)]
-    return sum(10 ** prices[w] for w in last)
+def texts_of(rng, n, size):
+    return [[w.encode() for w in prose(rng, rng.randint(0, size)).split()] for _ in range(n)]
 
 
-def followed(so_far):
-    return [so_far + bytes([b]) for b in range(256)]
+OTHERS = [[b"unseen"], [b"zzz", "üß".encode(), b"ta"], [b"x" * 50], [], [b"\0", b"\xff\xfe"]]
 
 
 def test_log_gamma():
@@ -119,40 +117,82 @@ def test_log_gamma():
 
 
 def test_byte_strings():
-    keys, wholes, of = byte_strings([b"ab", b"", b"c"], 2)
-    assert list(of) == [0, 0, 0, 1, 2, 2]
-    assert [int(k).to_bytes(3, "big") for k in keys] == [b"\0 a", b" ab", b"ab ", b"\0  ", b"\0 c", b" c "]
-    assert [w & 255 for w in wholes] == list(b"ab  c ")
-    contexts = list(wholes >> 8)
-    assert contexts[0] == contexts[3] == contexts[4] == end_string()[1] >> 8
-    assert len(set(contexts)) == 4
-    again = byte_strings([b"abc"], 2)[1]
-    assert list(again[:2]) == list(wholes[:2]) and again[2] >> 8 == contexts[2]
-    assert end_string()[0].to_bytes(3, "big") == b"\0 \n"
-
-
-@pytest.mark.parametrize("depth", [1, 2, 3, 5])
+    keys, of, hashes, texts = byte_strings(next(pieces([[b"ab", b"c"], [], [b"ab"]], 2)), 2)
+    strings = [int(k).to_bytes(3, "big") for k in keys]
+    # The nearest byte is the first.
+    assert strings[:6] == [b" \0a", b"a b", b"ba ", b" bc", b"c  ", b" c\n"]
+    assert strings[6:] == [b" \0\n", b" \0a", b"a b", b"ba ", b" b\n"]
+    assert list(of) == [0] * 6 + [1] + [2] * 4
+    assert list(texts) == [0, 0, 2] and all(hashes < 0)
+    assert hashes[0] == hashes[2] != hashes[1]
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_pieces_make_no_difference(size):
+    texts = [*texts_of(random.Random(size), 20, 30), *OTHERS]
+    assert keys_of(texts, 3, size) == keys_of(texts, 3)
+    whole = [byte_strings(g, 3)[2:] for g in pieces(texts, 3)]
+    cut = [byte_strings(g, 3)[2:] for g in pieces(texts, 3, size)]
+    assert len(cut) > len(whole)
+    for i in range(2):
+        assert list(np.concatenate([c[i] for c in cut])) == list(whole[0][i])
+
+
+def test_words_of_a_long_list_have_hashes_of_their_own():
+    words = [f"{i:x}".encode() for i in range(50_000)] + [b"\0" * i for i in range(1, 100)]
+    hashes = byte_strings(next(pieces([words], 5, 1 << 30)), 5)[2]
+    assert len(set(hashes.tolist())) == len(words)
+
+
+def test_added():
+    keys, sums = _added([(np.array([5, 1, 5]), np.array([True, False, True])), (np.array([1]), np.array([3]))])
+    assert list(keys) == [1, 5] and list(sums) == [3, 2]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 5, 6])
 def test_equal_to_plain_weighting(spark, depth):
-    rng = random.Random(depth)
-    counted = Counter(w.encode() for w in prose(rng, 200).split())
-    tokens = [*counted, b"unseen", b"zzz", "üß".encode(), b"ta", b"x" * 50]
-    plain, prices = Plain(counted, 7, depth), prices_of(spark, counted, 7, depth, tokens)
-    got = [word_price(prices, w, depth) for w in tokens]
-    assert np.allclose(got, [plain.word(w) for w in tokens], atol=1e-6)
-    assert abs(prices[end_string()[1]] - plain.word(None)) < 1e-6
+    trained = texts_of(random.Random(depth), 12, 30)
+    texts = [*trained, *OTHERS]
+    asked = keys_of(texts, depth)
+    plain = Plain(trained, depth)
+    prices = prices_of(spark, trained, depth, [k for keys in asked for k in keys])
+    got = [sum(prices[k] for k in keys) for keys in asked]
+    assert np.allclose(got, [plain.text(t) for t in texts], atol=1e-6)
 
 
-def test_probabilities_of_a_byte_sum_to_one(spark):
-    counted = Counter(w.encode() for w in prose(random.Random(1), 300).split())
-    begins = (b"", b"ta", b"tari", b"zzz")
-    prices = prices_of(spark, counted, 5, 3, [w for b in begins for w in followed(b)])
-    for so_far in begins:
-        assert abs(sum_of_all_bytes(prices, so_far, 3) - 1) < 1e-6
+@pytest.mark.parametrize("trained", [20, 0])
+def test_probabilities_of_a_byte_sum_to_one(spark, trained):
+    texts = texts_of(random.Random(1), trained, 30)
+    begins = [k >> 8 << 8 for k in keys_of([[b"ta", b"tari", b"zzz", b"the"]], 3)[0]]
+    prices = prices_of(spark, texts, 3, [k | b for k in begins for b in range(256)])
+    for k in begins:
+        assert abs(sum(10 ** prices[k | b] for b in range(256)) - 1) < 1e-6
 
 
-def test_without_training(spark):
-    prices = prices_of(spark, {}, 0, 3, followed(b""))
-    assert abs(sum_of_all_bytes(prices, b"", 3) - 1) < 1e-6
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_ranges_make_no_difference(spark, size):
+    trained = texts_of(random.Random(6), 8, 20)
+    asked = keys_of([*trained, *OTHERS], 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        prices = prices_of(spark, trained, 3, [k for keys in asked for k in keys], size)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plain = Plain(trained, 3)
+    for text, keys in zip([*trained, *OTHERS], asked):
+        assert abs(sum(prices[k] for k in keys) - plain.text(text)) < 1e-6
+
+
+def test_blocks_are_bounded(spark):
+    df, made = documents(spark)
+    rows = in_blocks(df, 500).groupBy("block").agg(
+        F.count("*").alias("n"),
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("size"),
+        F.max(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("longest"),
+    )
+    got = rows.collect()
+    assert sum(r.n for r in got) == len(made)
+    assert all(r["size"] - r.longest < 500 for r in got) and len(got) > 20
 
 
 def documents(spark, n=90):
@@ -165,8 +205,8 @@ def documents(spark, n=90):
     return df.withColumn("score", F.lit(1)).withColumn("word", F.lit("x")).repartition(6), made
 
 
-@pytest.mark.parametrize("frequent", [1 << 17, 5, 1])
-def test_all_columns_by_hand(spark, frequent):
+@pytest.mark.parametrize("block_bytes", [1 << 25, 900, 1])
+def test_all_columns_by_hand(spark, block_bytes):
     df, made = documents(spark)
     lower = {i: bytes([i + 32]) for i in range(65, 91)}
 
@@ -177,10 +217,10 @@ def test_all_columns_by_hand(spark, frequent):
     def held(i):
         return zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
 
-    train = [t for i, t in made if not held(i)]
-    counted = Counter(w for t in train for w in tokens(t))
+    train = [tokens(t) for i, t in made if not held(i)]
+    counted = Counter(w for t in train for w in t)
     n, v = sum(counted.values()) + len(train), len(counted) + 1
-    plain = Plain(counted, len(train), 3)
+    plain = Plain(train, 3)
 
     def base(c):
         return math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
@@ -196,10 +236,10 @@ def test_all_columns_by_hand(spark, frequent):
                 sum(w in counted for w in found) + 1,
                 n,
                 round(sum(base(counted[w]) for w in found) + base(len(train)), 4),
-                round(sum(map(plain.word, found)) + plain.word(None), 4),
+                round(plain.text(found), 4),
             )
         )
-    got = score_texts(df, is_held(), depth=3, frequent=frequent).collect()
+    got = score_texts(df, is_held(), depth=3, block_bytes=block_bytes).collect()
     assert sorted(want) == sorted(
         (
             str(r.doc_id),
@@ -231,33 +271,45 @@ def test_the_model_learns(spark):
 
 def test_contexts_seen_once_count_in_any_corpus(spark):
     rng = random.Random(11)
-    common = sorted(set(prose(rng, 300).split()))
+    common = sorted(set(prose(rng, 300).split()))[:40]
     rare = [f"qz{i}xyw" for i in range(30)]
-    made = [(i, " ".join(rng.choices(common, k=2_500))) for i in range(1, 150)]
+    made = [(i, " ".join(rng.choices(common, k=300))) for i in range(1, 80)]
     made = [(i, t) for i, t in made if zlib.crc32(str(i).encode()) % 10]
     made[0] = (made[0][0], made[0][1] + " " + " ".join(rare))
-    counted = Counter(w.encode() for _, t in made for w in t.split())
-    assert sum(n * (len(w) + 1) for w, n in counted.items()) > 1 << 20
     held = next(i for i in range(1_000, 2_000) if zlib.crc32(str(i).encode()) % 10 == 0)
-    df = spark.createDataFrame(
-        [(i, t, "en", "s", 0) for i, t in [*made, (held, " ".join([*rare, "qz3x", "unseen"]))]],
-        DOCUMENTS,
-    )
-    plain = Plain(counted, len(made), 3)
+    new = " ".join([*rare, "qz3x", "unseen"])
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in [*made, (held, new)]], DOCUMENTS)
+    plain = Plain([t.encode().split() for _, t in made], 3)
     got = score_texts(df, is_held(), depth=3).filter(F.col("doc_id") == held).first()
-    want = sum(plain.word(w.encode()) for w in [*rare, "qz3x", "unseen"]) + plain.word(None)
-    assert abs(got.score - want) < 1e-3
+    assert abs(got.score - plain.text(new.encode().split())) < 1e-3
 
 
-@pytest.mark.parametrize("size", [1, 7, 100])
-def test_ranges_make_no_difference(spark, size):
-    counted = Counter(w.encode() for w in prose(random.Random(6), 150).split())
-    words = [*counted, b"unseen", b"ta", b"zz"]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-    try:
-        prices = prices_of(spark, counted, 4, 3, words, size)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    plain = Plain(counted, 4, 3)
-    for word in words:
-        assert abs(word_price(prices, word, 3) - plain.word(word)) < 1e-6
+def test_the_order_of_words_counts(spark):
+    rng = random.Random(5)
+    circle = sorted(set(prose(rng, 60).split()))
+    texts = [(circle * 3)[i : i + 30] for i in (rng.randrange(len(circle)) for _ in range(60))]
+    held = [i for i in range(1_000, 3_000) if zlib.crc32(str(i).encode()) % 10 == 0][:40]
+    made = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    pairs = [w for t in texts[:20] for w in (t, rng.sample(t, 30))]
+    made += [(i, " ".join(t)) for i, t in zip(held, pairs)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in made], DOCUMENTS)
+    got = {r.doc_id: r.score for r in score_texts(df, is_held()).collect()}
+    assert all(got[a] > got[b] for a, b in zip(held[::2], held[1::2]))
+
+
+def test_texts_seen_score_better_than_new_ones(spark):
+    rng = random.Random(5)
+    made = [(i, prose(rng, 80)) for i in range(200)]
+    held = [i for i in range(1_000, 3_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    seen = [t for i, t in made if zlib.crc32(str(i).encode()) % 10][:40]
+    made += list(zip(held, seen)) + [(i, prose(rng, 80)) for i in held[40:80]]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in made], DOCUMENTS)
+    got = {r.doc_id: r.bits_per_byte for r in score_texts(df, is_held()).collect()}
+    assert np.mean([got[i] for i in held[:40]]) < np.mean([got[i] for i in held[40:80]])
+
+
+def test_depth_is_bounded(spark):
+    df, _ = documents(spark, 1)
+    for depth in (0, 7):
+        with pytest.raises(ValueError, match="depth"):
+            score_texts(df, is_held(), depth=depth)
