@@ -36,10 +36,10 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def kept(df: DataFrame, purpose: str) -> DataFrame:
+def kept(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends there."""
     path = working_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,8 +20,8 @@ for a range.
 
 Words are told apart by 64-bit hashes. Null and empty texts have the end as their only
 token. A null id counts as empty text where ids decide what is held out. Repeated rows
-get equal results but for the rounding of sums. A text is read in pieces of about a
-megabyte, cut after a space. Without training texts nothing is known: every decision
+get equal results but for the rounding of sums. A text is read in pieces of about half
+a megabyte, cut after a space. Without training texts nothing is known: every decision
 has probability one half. An empty table gives no rows.
 """
 
@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import in_parts, kept, mixed, words
+from podium.llm.common import GOLDEN, in_parts, kept, mixed, words
 
 SPACE = 0x20
 _BASE = np.uint64(0xB5026F5AA96619E9)
@@ -48,7 +48,7 @@ _WORD = np.uint64(1 << 63)
 
 
 def pieces(
-    texts: Iterable[list[bytes]], depth: int, size: int = 1 << 20
+    texts: Iterable[list[bytes]], depth: int, size: int = 1 << 19
 ) -> Iterator[list[tuple[int, bytes, bytes]]]:
     """Texts, given by their words, as groups of about ``size`` bytes.
 
@@ -163,7 +163,7 @@ def block_counts(rows: DataFrame, depth: int) -> DataFrame:
         )
 
     def counted(batches):
-        now, found = None, []
+        now, found, merged = None, [], 0
         for batch in in_parts(batches):
             blocks = batch["block"].to_numpy()
             for block in np.unique(blocks):
@@ -171,13 +171,17 @@ def block_counts(rows: DataFrame, depth: int) -> DataFrame:
                 if block != now:
                     if found:
                         yield made(now, found)
-                    now, found = block, []
-                learn = ~mine["held_out"].to_numpy(zero_copy_only=False)
+                    now, found, merged = block, [], 0
+                held_out = mine["held_out"].to_numpy(zero_copy_only=False)
                 for group in pieces(map(words, mine["text"].to_pylist()), depth):
                     keys, of, hashes, texts = byte_strings(group, depth)
-                    found.append(_added([(keys, learn[of]), (hashes, learn[texts])]))
-                if sum(len(k) for k, _ in found) > 1 << 22:
-                    found = [_added(found)]
+                    for k, out in ((keys, held_out[of]), (hashes, held_out[texts])):
+                        found.append(np.unique(k[~out], return_counts=True))
+                        unlearned = np.unique(k[out])
+                        found.append((unlearned, np.zeros(len(unlearned), np.int64)))
+                    if sum(len(k) for k, _ in found) - merged > 1 << 20:
+                        found = [_added(found)]
+                        merged = len(found[0][0])
         if found:
             yield made(now, found)
 
@@ -408,6 +412,40 @@ def string_prices(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFr
 
 # --- scoring --------------------------------------------------------------
 
+
+class Lookup:
+    """Values by key, for many keys at once: a table of slots, probed one after another."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits)
+        todo, at = np.arange(len(keys)), self._slots(keys)
+        while len(todo):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[todo[free]]
+            mine = self.keys[at] == keys[todo]
+            self.values[at[mine]] = values[todo[mine]]
+            todo, at = todo[~mine], self._next(at[~mine])
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slots(keys)
+        missed = np.flatnonzero(self.keys[at] != keys)
+        while len(missed):
+            at[missed] = self._next(at[missed])
+            found = self.keys[at[missed]]
+            if (found == -1).any():
+                raise KeyError("a string without a price")
+            missed = missed[found != keys[missed]]
+        return self.values[at]
+
+
 _SCORED = [
     "held_out boolean",
     "n_tokens long",
@@ -420,7 +458,7 @@ _SCORED = [
 
 
 def score_texts(
-    docs: DataFrame, held_out: Column, *, depth: int = 5, block_bytes: int = 1 << 25
+    docs: DataFrame, held_out: Column, *, depth: int = 5, block_bytes: int = 3 << 24
 ) -> DataFrame:
     """Log-probabilities of all texts, learned from those that are not ``held_out``.
 
@@ -432,8 +470,11 @@ def score_texts(
     if not 1 <= depth <= 6:
         raise ValueError("depth is from 1 to 6: a string is one 64-bit number")
     found = docs.select("doc_id", "text", held_out.alias("held_out"))
-    rows = kept(in_blocks(found, block_bytes), "blocks")
-    asked = kept(block_counts(rows, depth), "asked")
+    size = found.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Partitions smaller than a block would make small blocks, which share less.
+    found = found.coalesce(size // block_bytes + 1)
+    rows = kept(in_blocks(found, block_bytes), "blocks", "zstd")
+    asked = kept(block_counts(rows, depth), "asked", "zstd")
     counted = kept(asked.groupBy("key").agg(F.sum("n").alias("n")), "counted")
     strings, vocabulary = counted.filter("key >= 0"), counted.filter("key < 0")
     ends = rows.filter("not held_out").count()
@@ -448,8 +489,7 @@ def score_texts(
     got = asked.join(answers, "key").select("block", "key", "price")
 
     def scored(texts: pa.Table, prices: pa.Table) -> pa.Table:
-        order = np.argsort(prices["key"].to_numpy())
-        known, price = (prices[c].to_numpy()[order] for c in ("key", "price"))
+        price = Lookup(prices["key"].to_numpy(), prices["price"].to_numpy())
         out = []
         for batch in texts.to_batches(max_chunksize=512):
             tokens = [words(t) for t in batch["text"].to_pylist()]
@@ -458,8 +498,8 @@ def score_texts(
             base = np.full(size, np.log10((ends + 0.1) / whole))
             for group in pieces(tokens, depth):
                 keys, of, hashes, of_words = byte_strings(group, depth)
-                score += np.bincount(of, price[np.searchsorted(known, keys)], size)
-                c = price[np.searchsorted(known, hashes)]
+                score += np.bincount(of, price[keys], size)
+                c = price[hashes]
                 n_known += np.bincount(of_words, c > 0, size).astype(np.int64)
                 base += np.bincount(of_words, np.log10((c + 0.1) / whole), size)
             n = np.array([len(t) for t in tokens], dtype=np.int64) + 1

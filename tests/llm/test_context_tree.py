@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from podium.llm.common import kept, remainder
 from podium.llm.context_tree import (
+    Lookup,
     _added,
     _log_gamma,
     byte_strings,
@@ -149,6 +150,19 @@ def test_added():
     assert list(keys) == [1, 5] and list(sums) == [3, 2]
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 5_000])
+def test_lookup(n):
+    rng = np.random.default_rng(n)
+    keys = np.concatenate([rng.integers(-(1 << 62), 1 << 62, n), np.arange(n)])
+    keys = rng.permutation(np.unique(keys))
+    values = rng.random(len(keys))
+    asked = rng.integers(0, len(keys), 3 * n) if n else np.empty(0, np.int64)
+    lookup = Lookup(keys, values)
+    assert np.array_equal(lookup[keys[asked]], values[asked])
+    with pytest.raises(KeyError):
+        lookup[np.array([1 << 62])]
+
+
 @pytest.mark.parametrize("depth", [1, 2, 3, 5, 6])
 def test_equal_to_plain_weighting(spark, depth):
     trained = texts_of(random.Random(depth), 12, 30)
