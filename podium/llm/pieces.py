@@ -79,6 +79,21 @@ class Vocabulary:
         return Vocabulary(path)
 
 
+class PackedIds(dict):
+    """Identifiers of each piece, packed; a character of no piece has those of its bytes.
+
+    Such characters are not remembered: there are many.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.byte_ids = vocabulary.byte_ids
+        for piece, i in vocabulary.ids.items():
+            self[piece] = i.to_bytes(4, "little")
+
+    def __missing__(self, token: str) -> bytes:
+        return np.array([self.byte_ids[b] for b in token.encode()], "<u4").tobytes()
+
+
 class PrefixEncoder(dict):
     """Identifiers of each word seen, packed, worked out at the first request.
 
@@ -91,6 +106,7 @@ class PrefixEncoder(dict):
     def __init__(self, path: str, most: int = 400_000):
         self.vocabulary = Vocabulary.load(path)
         self.scores = self.vocabulary.scores
+        self.packed = PackedIds(self.vocabulary)
         self.most = most
         self.histories: dict[str, tuple | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -173,33 +189,28 @@ class PrefixEncoder(dict):
     def tokens(self, word: str) -> list[str]:
         """The tokens of ``word``; characters of no piece are tokens too."""
         n = len(word)
+        # The last token of each prefix; of one that no piece could end, its character.
         last = [""] * (n + 1)
-        whole = 0  # the last token of each prefix up to here is known
+        known = self.pairs.get
         for end, piece in self.automaton.iter(word):
-            while whole < end:  # what no piece could end is a character by itself
-                whole += 1
-                last[whole] = last[whole] or word[whole - 1]
+            if last[end + 1]:
+                continue
             start = end + 1 - len(piece)
-            if not last[end + 1] and (not start or self.may_follow(last[start], piece)):
-                last[end + 1] = piece
-        while whole < n:
-            whole += 1
-            last[whole] = last[whole] or word[whole - 1]
+            if start:
+                left = last[start] or word[start - 1]
+                apart = known((left, piece))
+                if not (self.may_follow(left, piece) if apart is None else apart):
+                    continue
+            last[end + 1] = piece
         out = []
         while n:
-            out.append(last[n])
-            n -= len(last[n])
+            token = last[n] or word[n - 1]
+            out.append(token)
+            n -= len(token)
         return out[::-1]
 
     def __missing__(self, word: str) -> bytes:
-        ids: list[int] = []
-        for token in self.tokens(word):
-            known = self.vocabulary.ids.get(token)
-            if known is None:
-                ids += [self.vocabulary.byte_ids[b] for b in token.encode()]
-            else:
-                ids.append(known)
-        packed = np.array(ids, "<u4").tobytes()
+        packed = b"".join(map(self.packed.__getitem__, self.tokens(word)))
         if len(word) <= self.LONGEST:
             if len(self) >= self.most:
                 self.clear()

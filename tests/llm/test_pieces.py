@@ -148,3 +148,26 @@ def test_no_shuffle(spark, capsys):
     docs = spark.createDataFrame([], DOCUMENTS)
     decode_ids(encode_texts(docs, PATH), PATH).explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_met_pairs_and_pieces_are_looked_up(library, monkeypatch):
+    """New words of pairs that were met call nothing for a pair or a piece."""
+    encoder = PrefixEncoder(PATH)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aeinrst") for _ in range(9)) for _ in range(3000)]
+    for text in texts:
+        encoder.encode(text)
+    encoder.clear()
+    asked = []
+    monkeypatch.setattr(encoder, "may_follow", lambda *pair: asked.append(pair))
+    monkeypatch.setattr(np, "array", lambda *ids: asked.append(ids))
+    assert [encoder.encode(text) for text in texts] and not asked
+    monkeypatch.undo()
+    assert all(ids_of(encoder, text) == library.encode(text) for text in texts[:300])
+
+
+def test_characters_of_no_piece_are_not_remembered(encoder, library):
+    before = len(encoder.packed)
+    for text in ("𝔘a", "a𝔘\U000e0041b", "\U000e0042"):
+        assert ids_of(encoder, text) == library.encode(text)
+    assert len(encoder.packed) == before
