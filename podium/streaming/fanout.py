@@ -24,6 +24,9 @@ from podium.streaming.epochs import EpochLog, append_files_once, once, query_id,
 
 log = logging.getLogger(__name__)
 
+# Messages of a file, where the rows of an epoch are counted before they are written.
+FILE_ROWS = 1 << 17
+
 # Beside the epochs of a table: the query that writes them.
 OWNER = "_query"
 
@@ -101,22 +104,37 @@ def to_topic(
 
     ``epoch_column`` adds the number of the epoch under that name and ``rows_column`` its
     number of rows, by which a reader can tell the whole results apart, knows when one is
-    complete and drops one that was sent twice. ``log`` is a folder that notes the epochs
-    written: one that runs again is left out. Files then come once whatever fails; to a
-    broker an epoch goes again if the failure comes before the note. Further options go to
-    Spark's writer, such as a broker's security protocol.
+    complete and drops one that was sent twice. An epoch that is counted is kept for that,
+    so it is computed once, and goes to as few files as its rows need: a reader that takes
+    so many files at a time is not held up by one for each task. ``log`` is a folder that
+    notes the epochs written: one that runs again is left out. Files then come once
+    whatever fails; to a broker an epoch goes again if the failure comes before the note.
+    Further options go to Spark's writer, such as a broker's security protocol.
     """
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        rows = _with_epoch(batch, epoch_id, epoch_column)
-        if rows_column is not None:
-            rows = rows.withColumn(rows_column, F.lit(batch.count()).cast("long"))
+    def send(rows: DataFrame, epoch_id: int) -> None:
         messages = encode_json(rows, json_options)
         if log is not None and fmt != "kafka":
             append_files_once(messages, topic, fmt, epoch_id, log, **options)
         else:
             write_topic(messages, topic, servers, fmt, **options)
 
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        if rows_column is None:
+            send(_with_epoch(batch, epoch_id, epoch_column), epoch_id)
+            return
+        keep = batch.storageLevel == StorageLevel.NONE  # else ``fan_out`` keeps it
+        if keep:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = batch.count()
+            rows = batch if fmt == "kafka" else batch.coalesce(n // FILE_ROWS + 1)
+            rows = _with_epoch(rows, epoch_id, epoch_column)
+            send(rows.withColumn(rows_column, F.lit(n).cast("long")), epoch_id)
+        finally:
+            if keep:
+                batch.unpersist()
+
     return once(write, log) if log is not None and fmt == "kafka" else write
 
 
