@@ -40,6 +40,8 @@ from podium.llm.common import GOLDEN, in_parts, kept, mixed, words
 
 SPACE = 0x20
 _BASE = np.uint64(0xB5026F5AA96619E9)
+#: Rows of a batch of keys that goes back to Spark.
+ROWS = 1 << 16
 #: Set in the key of a word; byte strings are below.
 _WORD = np.uint64(1 << 63)
 
@@ -137,16 +139,20 @@ def in_blocks(docs: DataFrame, size: int) -> DataFrame:
                     block, filled = block + 1, 0
                 blocks.append(block)
                 filled += int(n) + 64
-            yield batch.append_column("block", pa.array(blocks, pa.int64()))
+            yield from in_parts([batch.append_column("block", pa.array(blocks, pa.int64()))])
 
     return docs.mapInArrow(numbered, ", ".join([*fields, "block long"]))
 
 
 def _added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their numbers."""
-    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    sums = np.bincount(at, np.concatenate([n for _, n in found]), len(keys))
-    return keys, sums.astype(np.int64)
+    keys = np.concatenate([k for k, _ in found])
+    order = np.argsort(keys)
+    keys = keys[order]
+    numbers = np.concatenate([n for _, n in found])[order]
+    del order
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[starts], np.add.reduceat(numbers, starts) if len(starts) else numbers
 
 
 def block_counts(rows: DataFrame, depth: int) -> DataFrame:
@@ -155,12 +161,16 @@ def block_counts(rows: DataFrame, depth: int) -> DataFrame:
     ``n`` counts texts that are not ``held_out`` only; what they lack has 0.
     """
 
-    def made(block: int, found: list) -> pa.RecordBatch:
+    def made(block: int, found: list) -> Iterator[pa.RecordBatch]:
         keys, sums = _added(found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(sums)],
-            names=["block", "key", "n"],
-        )
+        found.clear()
+        # A batch is held whole outside of Spark's heap, and a block has millions of keys.
+        for at in range(0, len(keys), ROWS):
+            k, n = keys[at : at + ROWS], sums[at : at + ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(k), block)), pa.array(k), pa.array(n)],
+                names=["block", "key", "n"],
+            )
 
     def counted(batches):
         now, found, merged = None, [], 0
@@ -170,7 +180,7 @@ def block_counts(rows: DataFrame, depth: int) -> DataFrame:
                 mine = batch.filter(pa.array(blocks == block))
                 if block != now:
                     if found:
-                        yield made(now, found)
+                        yield from made(now, found)
                     now, found, merged = block, [], 0
                 held_out = mine["held_out"].to_numpy(zero_copy_only=False)
                 for group in pieces(map(words, mine["text"].to_pylist()), depth):
@@ -183,7 +193,7 @@ def block_counts(rows: DataFrame, depth: int) -> DataFrame:
                         found = [_added(found)]
                         merged = len(found[0][0])
         if found:
-            yield made(now, found)
+            yield from made(now, found)
 
     return rows.select("block", "held_out", "text").mapInArrow(
         counted, "block long, key long, n long"
@@ -383,7 +393,7 @@ def join_ranges(opened: pa.Table, depth: int) -> tuple[np.ndarray, ...]:
 
 def string_prices(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFrame:
     """``key`` and ``price``: the log-probability of each string's byte."""
-    weighed = kept(weigh_ranges(strings, depth, rows), "weighed")
+    weighed = kept(weigh_ranges(strings, depth, rows), "weighed", "zstd")
     opened = weighed.filter("depth >= 0").select("depth", "context", "key", *_BITS[:3]).toArrow()
     shared = strings.sparkSession.sparkContext.broadcast(join_ranges(opened, depth))
 
@@ -414,25 +424,35 @@ def string_prices(strings: DataFrame, depth: int, rows: int = 1 << 17) -> DataFr
 
 
 class Lookup:
-    """Values by key, for many keys at once: a table of slots, probed one after another."""
+    """Values by key, for many keys at once: a table of slots, probed one after another.
+
+    There are twice as many slots as keys.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, (2 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.zeros(1 << self.bits)
-        todo, at = np.arange(len(keys)), self._slots(keys)
-        while len(todo):
-            free = self.keys[at] == -1
-            self.keys[at[free]] = keys[todo[free]]
-            mine = self.keys[at] == keys[todo]
-            self.values[at[mine]] = values[todo[mine]]
-            todo, at = todo[~mine], self._next(at[~mine])
+        self.size = max(16, 2 * len(keys))
+        if self.size >> 32:
+            raise ValueError("too many keys for one table")
+        self.keys = np.full(self.size, -1, np.int64)
+        self.values = np.zeros(self.size)
+        for start in range(0, len(keys), 1 << 20):
+            todo = np.arange(start, min(start + (1 << 20), len(keys)))
+            at = self._slots(keys[todo])
+            while len(todo):
+                free = self.keys[at] == -1
+                self.keys[at[free]] = keys[todo[free]]
+                mine = self.keys[at] == keys[todo]
+                self.values[at[mine]] = values[todo[mine]]
+                todo, at = todo[~mine], self._next(at[~mine])
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).view(np.int64)
+        high = (keys.view(np.uint64) * GOLDEN) >> np.uint64(32)
+        return ((high * np.uint64(self.size)) >> np.uint64(32)).view(np.int64)
 
     def _next(self, at: np.ndarray) -> np.ndarray:
-        return (at + 1) & ((1 << self.bits) - 1)
+        at = at + 1
+        at[at == self.size] = 0
+        return at
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
         at = self._slots(keys)
@@ -475,7 +495,7 @@ def score_texts(
     found = found.coalesce(size // block_bytes + 1)
     rows = kept(in_blocks(found, block_bytes), "blocks", "zstd")
     asked = kept(block_counts(rows, depth), "asked", "zstd")
-    counted = kept(asked.groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    counted = kept(asked.groupBy("key").agg(F.sum("n").alias("n")), "counted", "zstd")
     strings, vocabulary = counted.filter("key >= 0"), counted.filter("key < 0")
     ends = rows.filter("not held_out").count()
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()

@@ -3,8 +3,10 @@ import random
 import zlib
 from collections import Counter
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from podium.llm.context_tree import (
     Lookup,
     _added,
     _log_gamma,
+    block_counts,
     byte_strings,
     in_blocks,
     pieces,
@@ -327,3 +330,26 @@ def test_depth_is_bounded(spark):
     for depth in (0, 7):
         with pytest.raises(ValueError, match="depth"):
             score_texts(df, is_held(), depth=depth)
+
+
+def test_keys_of_a_block_come_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr("podium.llm.context_tree.ROWS", 100)
+    df, made = documents(spark)
+    rows = in_blocks(df.coalesce(1), 1 << 25).withColumn("held_out", F.lit(False))
+
+    whole = rows.toArrow().to_batches(max_chunksize=7)
+    frame = SimpleNamespace(select=lambda *names: SimpleNamespace(mapInArrow=lambda f, kinds: f))
+    counted = list(block_counts(frame, 3)(b.select(["block", "held_out", "text"]) for b in whole))
+    assert len(counted) > 10 and max(b.num_rows for b in counted) == 100
+    keys = np.concatenate([b["key"].to_numpy() for b in counted])
+    assert (np.diff(keys) > 0).all()
+    got = block_counts(rows, 3).agg(F.sum("n").alias("n"), F.count("*").alias("keys")).first()
+    assert got["keys"] == len(keys)
+    assert got["n"] == sum(b["n"].to_numpy().sum() for b in counted)
+
+
+def test_a_lookup_has_two_slots_for_each_key():
+    keys = np.random.default_rng(5).permutation(40_000).astype(np.int64) * 977
+    lookup = Lookup(keys, keys / 3)
+    assert len(lookup.keys) == len(lookup.values) == 80_000
+    assert np.array_equal(lookup[keys], keys / 3)
